@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwise.functions.text import plain_id
-from strandwise.operators import orphans, wide
+from strandwise.functions.text import accession_of, plain_id, squeeze
+from strandwise.operators import orphans, units, wide
 from strandwise.session import table
 
 ENTITY = ["source_id", "entity_evidence_id"]
@@ -61,3 +61,25 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p3_found": p3_found, "p3_wide": p3_wide, "p5_found": p5_found, "p5_report": p5_report}
+
+
+def with_attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """annotation with the accession of its attribute, told by the term's accession or else its name."""
+    types = wide.attribute_list(table(spark, sf_dir, "annotation_term_type"))
+    names = [(acc, acc) for acc, _, _ in types] + [("name:" + "".join(n.lower().split()), acc) for acc, n, _ in types]
+    lookup = spark.createDataFrame(names, "attr string, accession string").dropDuplicates(["attr"])
+    a = table(spark, sf_dir, "annotation").withColumn("attr", F.coalesce(accession_of(F.col("term")), F.concat(F.lit("name:"), squeeze(F.col("term")))))
+    return a.join(F.broadcast(lookup), "attr", "left")
+
+
+# Attributes whose number may stand alone, and its scale.
+BARE = {"temperature celsius": "unit", "pchembl value": "-log"}
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    types = table(spark, sf_dir, "annotation_term_type").where("value_kind = 'quantity' and common_unit is not null").orderBy("accession").limit(wide.MAX_ATTRIBUTES).collect()
+    fields = {r["accession"].upper(): units.Field(r["common_unit"], BARE.get((r["attribute_name"] or "").lower(), "")) for r in types}
+    return units.convert_units(with_attribute(spark, sf_dir), ["annotation_key"], "accession", "term", "value", "unit", fields).distinct()
+
+
+QUERIES["p7_found"] = p7_found
