@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.functions.text import accession_of, plain_id, squeeze
-from strandwise.operators import orphans, units, wide
+from strandwise.operators import orphans, packed, units, wide
 from strandwise.session import table
 
 ENTITY = ["source_id", "entity_evidence_id"]
@@ -83,3 +83,22 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["p7_found"] = p7_found
+
+
+# Terms whose text is prose or a single code whatever it contains.
+PROSE = ["OM:0613", "MI:0612", "OM:0206"]
+
+
+def packed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of identifier_evidence and of text annotations with the kind of value they hold."""
+    ids = table(spark, sf_dir, "identifier_evidence").select(F.lit("identifier_evidence").alias("table_name"), F.col("identifier_id").alias("record_id"), F.concat(F.lit("i"), F.col("identifier_type_id").cast("string")).alias("kind"), "value")
+    text = [r[0].upper() for r in table(spark, sf_dir, "annotation_term_type").where("value_kind = 'text'").select("accession").distinct().limit(wide.MAX_ATTRIBUTES).collect()]
+    notes = with_attribute(spark, sf_dir).where(F.col("accession").isin([a for a in text if a not in PROSE]))
+    return ids.unionByName(notes.select(F.lit("annotation").alias("table_name"), F.col("annotation_key").alias("record_id"), F.col("accession").alias("kind"), "value"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed.split_packed(packed_fields(spark, sf_dir), ["table_name", "record_id"], "kind", "value")
+
+
+QUERIES["p1_found"] = p1_found
