@@ -111,16 +111,20 @@ class Codebook:
     """Code lengths of atomic shapes of one class."""
 
     def __init__(self, counts: dict[str, int]):
-        """Keeps the shapes that are no list of other kept shapes, shortest first."""
+        """Keeps the shapes that are not shorter to describe as a list of other kept shapes, shortest first."""
         self.bits: dict[str, float] = {}
+        everything, kept = sum(counts.values()) or 1, 0
         for s in sorted(counts, key=lambda s: (len(_TOKENS.findall(s)), -counts[s], s)):
             if s and not self._is_list(s):
-                self.bits[s] = float(counts[s])
-        total = sum(self.bits.values()) or 1.0
-        self.bits = {s: -math.log2(n / total) for s, n in self.bits.items()}
+                self.bits[s] = -math.log2(counts[s] / everything)
+                kept += counts[s]
+        share = math.log2(kept / everything) if kept else 0.0
+        self.bits = {s: n + share for s, n in self.bits.items()}
         self.best: dict[str, Dialect | None] = {}
 
     def _is_list(self, s: str) -> bool:
+        if self._shortest(s)[1]:
+            return True
         for d in DIALECTS:
             filled = [p for p in parse(s, d) or [] if p]
             if len(filled) > 1 and all(p in self.bits for p in filled):
@@ -133,10 +137,8 @@ class Codebook:
         b = self.bits.get(s)
         return ESCAPE + TOKEN * len(_TOKENS.findall(s)) + QUOTE * s.count('"') if b is None else b
 
-    def dialect(self, s: str) -> Dialect | None:
-        """The dialect with the shortest description of a field of this shape; None: it is one value."""
-        if s in self.best:
-            return self.best[s]
+    def _shortest(self, s: str) -> tuple[float, Dialect | None]:
+        """The shortest description of a field of this shape and its dialect; None: it is one value."""
         least, best = self.cost(s), None
         for d in DIALECTS:
             pieces = parse(s, d)
@@ -147,10 +149,15 @@ class Codebook:
                 bits += math.log2(3) * (len(pieces) - 1)
             if bits < least:
                 least, best = bits, d
-        if len(self.best) > 200_000:
-            self.best.clear()
-        self.best[s] = best
-        return best
+        return least, best
+
+    def dialect(self, s: str) -> Dialect | None:
+        """The dialect of a field of this shape; decided once."""
+        if s not in self.best:
+            if len(self.best) > 200_000:
+                self.best.clear()
+            self.best[s] = self._shortest(s)[1]
+        return self.best[s]
 
 
 def frequent_words(rows: DataFrame) -> dict[str, frozenset[str]]:
