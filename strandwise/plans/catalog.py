@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from strandwise.plans import evidence
+
+QUERIES: dict = dict(evidence.QUERIES)
 ORACLES: dict[str, str] = {}
