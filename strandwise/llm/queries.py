@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.functions.text import no_text, outer_trim, plain_id, squeeze
-from strandwise.llm import components, overlap, survivor
+from strandwise.llm import components, leakage, overlap, survivor
 from strandwise.operators.skew import join_unique
 from strandwise.session import table
 
@@ -62,3 +62,19 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_overlaps": p4_overlaps, "p6_found": p6_found}
 ORACLES: dict[str, str] = {}
+
+
+def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_item"), "item_id", "item_text", "answer_text")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(spark, sf_dir).where("kind = 'passage'").select("doc_id", "item_id").distinct()
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every leak with its length, edits, common share, answer check and kind."""
+    return leaks(spark, sf_dir).distinct()
+
+
+QUERIES |= {"p8_found": p8_found, "p8_report": p8_report}
