@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.functions.text import no_text, outer_trim, plain_id, squeeze
-from strandwise.llm import components, leakage, overlap, survivor
+from strandwise.llm import components, langid, leakage, overlap, survivor
 from strandwise.operators.skew import join_unique
 from strandwise.session import table
 
@@ -78,3 +78,31 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p8_found": p8_found, "p8_report": p8_report}
+
+
+#: Words that a language needs in a row to count as present.
+LEAST_WORDS = 12
+
+
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.language_segments(docs, "doc_id", "text", langid.train(docs, "doc_id", "text", "lang"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, "doc_id", "text", "lang")
+    labelled = docs.select(F.struct("doc_id", langid.named_language(F.col("lang")).alias("named")).alias("key"), "text")
+    seg = langid.language_segments(labelled, "key", "text", model)
+    return seg.where((F.col("n_words") >= LEAST_WORDS) & (F.col("lang_code") != langid.NONE) & ~F.col("lang_code").eqNullSafe(F.col("doc_id.named"))).select("doc_id.doc_id", "lang_code").distinct()
+
+
+def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments(spark, sf_dir)
+
+
+def p10_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.document_languages(segments(spark, sf_dir))
+
+
+QUERIES |= {"p10_found": p10_found, "p10_segments": p10_segments, "p10_documents": p10_documents}
