@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.functions.text import no_text, outer_trim, plain_id, squeeze
-from strandwise.llm import components, langid, leakage, overlap, survivor
+from strandwise.llm import components, langid, leakage, mixing, overlap, survivor
 from strandwise.operators.skew import join_unique
 from strandwise.session import table
 
@@ -106,3 +106,20 @@ def p10_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p10_found": p10_found, "p10_segments": p10_segments, "p10_documents": p10_documents}
+
+
+def mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix(table(spark, sf_dir, "documents"), "doc_id", "text", "source", table(spark, sf_dir, "mix_target"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents taken and how often."""
+    return mixture(spark, sf_dir)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return mixture(spark, sf_dir)[1]
+
+
+QUERIES |= {"p9_mix": p9_mix, "p9_shares": p9_shares}
