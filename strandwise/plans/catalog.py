@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandwise.plans import evidence
+from strandwise.plans import evidence, reference, relational
 
-QUERIES: dict = dict(evidence.QUERIES)
-ORACLES: dict[str, str] = {}
+QUERIES: dict = evidence.QUERIES | reference.QUERIES | relational.QUERIES
+ORACLES: dict[str, str] = evidence.ORACLES | reference.ORACLES | relational.ORACLES
