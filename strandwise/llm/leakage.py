@@ -31,8 +31,9 @@ class Params:
     window: int = 24  # words of a passage
     stride: int = 10  # between passages of a document; a leak of 30 words holds a passage but for 3 words
     item_stride: int = 4  # between passages of an item
-    rank: int = 96  # dimensions of the latent space
-    oversample: int = 16
+    rank: int = 64  # dimensions of the latent space
+    oversample: int = 8
+    least_idf: float = 1.0  # of a feature that counts; words of more than a third of all documents tell nothing
     iterations: int = 1  # of the subspace after the first pass
     cosine: float = 0.6  # of candidates in the latent space
     known: float = 0.35  # least share of a passage's weight in words of the items; below it no leak is possible
@@ -287,6 +288,7 @@ def _search(docs: DataFrame, items: Items, p: Params, scratch: Scratch) -> DataF
             df[r["f"]] = r["n"]
     idf = np.log((1.0 + n_docs) / (1.0 + df)).astype(np.float32)
     other = float(idf.mean()) if len(idf) else 1.0
+    idf[idf < p.least_idf] = 0.0
     if not items.size:
         return coded.select("doc_id").limit(0).selectExpr("doc_id", "0L item_id", "0 span_words", "0 span_edits", "0D common_share", "false has_answer", "'' kind")
     basis = latent_space(coded, items, idf, other, p)
