@@ -70,8 +70,8 @@ def orphan_references(refs: DataFrame, parents: DataFrame, ranges: int | None =
     spark = refs.sparkSession
     ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark)
-    named = refs.where(F.col("ref_key").isNotNull()).withColumn("ref_month", F.coalesce(_month("ref_at"), F.lit(NO_PERIOD)))
-    used = named.groupBy(F.col("ref_key").alias("key"), F.col("ref_month").alias("period")).agg(F.lit(None).cast("timestamp").alias("born"), F.lit(None).cast("timestamp").alias("gone")).withColumn("kind", F.lit(REF))
+    named = refs.where(F.col("ref_key").isNotNull()).withColumn("__ref_month", F.coalesce(_month("ref_at"), F.lit(NO_PERIOD)))
+    used = named.groupBy(F.col("ref_key").alias("key"), F.col("__ref_month").alias("period")).agg(F.lit(None).cast("timestamp").alias("born"), F.lit(None).cast("timestamp").alias("gone")).withColumn("kind", F.lit(REF))
     never = F.lit("0001-01-01 00:00:00").cast("timestamp")
     lives = (
         parents.where(F.col("key").isNotNull()).groupBy("key")
@@ -93,7 +93,7 @@ def orphan_references(refs: DataFrame, parents: DataFrame, ranges: int | None =
     candidates = keys.join(births.select("cid", F.col("born"), F.col("gone"), F.lit(True).alias("there")), "cid", "left")
     pair = lambda k, m: F.concat_ws("#", F.col(m).cast("string"), F.col(k))
     small = candidates.select(pair("key", "period").alias("__pair"), F.col("born").alias("__born"), F.col("gone").alias("__gone"), F.col("there").alias("__there"))
-    rows = join_unique(named.withColumn("__pair", pair("ref_key", "ref_month")), small, "__pair")
+    rows = join_unique(named.withColumn("__pair", pair("ref_key", "__ref_month")), small, "__pair")
     kind = F.when(F.col("__there").isNull(), "missing").when(F.col("__born") > F.col("ref_at"), "late").when(F.col("__gone") <= F.col("ref_at"), "deleted")
     return rows.withColumn("orphan_kind", kind).where("orphan_kind is not null").select(*refs.columns, "orphan_kind")
 

@@ -102,4 +102,34 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["p1_found"] = p1_found
-ORACLES: dict[str, str] = {}
+# SQL for the wide table and the orphans; it states the same results in another way.
+_ACC = "upper(nullif(regexp_extract(term, '([A-Za-z][A-Za-z]+:[0-9][0-9][0-9][0-9])', 1), ''))"
+_ATTR = f"attr AS (SELECT annotation_key, trim(value, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) v, coalesce({_ACC}, t.accession) acc FROM annotation a LEFT JOIN annotation_term_type t ON lower(replace(a.term, ' ', '')) = lower(replace(t.attribute_name, ' ', '')) AND {_ACC} IS NULL)"
+_USABLE = r"""usable AS (SELECT annotation_key, acc FROM attr JOIN annotation_term_type t ON t.accession = acc WHERE CASE value_kind
+  WHEN 'quantity' THEN regexp_matches(v, '(^|[^A-Za-z0-9.,])[-+]?[0-9]')
+  WHEN 'double' THEN regexp_matches(v, '^[-+]?[0-9]+([.,][0-9]+)?$')
+  WHEN 'integer' THEN regexp_matches(v, '^[-+]?[0-9]+([.]0*)?$')
+  WHEN 'boolean' THEN lower(v) IN ('true', 't', 'yes', 'y', '1', 'on', 'false', 'f', 'no', 'n', '0', 'off')
+  WHEN 'date' THEN coalesce(try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%Y/%m/%d'), try_strptime(v, '%Y%m%d'), try_strptime(v, '%d %b %Y')) IS NOT NULL
+  ELSE lower(v) NOT IN ('', '-', '--', '?', '.', 'n/a', 'n.a.', 'na', 'none', 'null', 'nil', 'nan', 'unknown', 'not available') END)"""
+
+
+def _bare(c: str) -> str:
+    return f"nullif(lower(trim({c}, ' {{}}' || chr(9) || chr(10))), '')"
+
+
+def _orphan(table_name: str, field: str, at: str, parents: str, own_source: str) -> str:
+    on = f"p.k = {_bare('r.' + field)}" + own_source
+    return f"""SELECT DISTINCT '{table_name}' table_name, '{field}' field_name, r.source_id, r.relation_evidence_id, CASE WHEN p.k IS NULL THEN 'missing' WHEN p.born > r.{at} THEN 'late' WHEN p.gone <= r.{at} THEN 'deleted' END orphan_kind, r.{at} ref_at
+ FROM (SELECT DISTINCT * FROM {table_name}) r LEFT JOIN {parents} p ON {on} WHERE {_bare('r.' + field)} IS NOT NULL AND orphan_kind IS NOT NULL"""
+
+
+_ORPHANS = f"""v AS (SELECT source_id, {_bare('entity_evidence_id')} k, min(resolved_at) born, NULL::TIMESTAMPTZ gone FROM entity_evidence_resolution GROUP BY 1, 2),
+ e AS (SELECT {_bare('entity_id')} k, min(created_at) born, CASE WHEN count(deleted_at) = count(*) THEN max(deleted_at) END gone FROM entity GROUP BY 1), r0 AS (SELECT {_bare('relation_id')} k, min(created_at) born, CASE WHEN count(deleted_at) = count(*) THEN max(deleted_at) END gone FROM relation GROUP BY 1),
+ orphans AS ({_orphan('relation_evidence', 'subject_entity_evidence_id', 'loaded_at', 'v', ' AND p.source_id = r.source_id')} UNION ALL {_orphan('relation_evidence', 'subject_entity_id', 'loaded_at', 'e', '')} UNION ALL {_orphan('relation_evidence_relation', 'relation_id', 'linked_at', 'r0', '')})"""
+
+ORACLES: dict[str, str] = {
+    "p3_found": f"WITH {_ATTR}, {_USABLE} SELECT DISTINCT source_id, entity_evidence_id, acc accession FROM entity_evidence_annotation JOIN usable USING (annotation_key)",
+    "p5_found": f"WITH {_ORPHANS} SELECT DISTINCT table_name, field_name, source_id, relation_evidence_id, orphan_kind FROM orphans",
+    "p5_report": f"WITH {_ORPHANS} SELECT table_name, field_name, strftime(ref_at AT TIME ZONE 'UTC', '%Y-%m') period, orphan_kind, count(*) n_orphans FROM orphans GROUP BY ALL",
+}

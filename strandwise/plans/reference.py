@@ -177,7 +177,9 @@ def n43(spark, d):
     return pick.ambiguity_split(complete(spark, d), ["kt", "kv"], ["ct", "cv"])[1]
 
 
-@query("n44_components")
+@query("n44_components", f"""WITH RECURSIVE {COMPLETE}, e AS (SELECT kt::VARCHAR || ':' || kv a, ct::VARCHAR || ':' || cv b FROM complete), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+ r(node, root, step) AS (SELECT a, least(a, min(b)), 1 FROM s GROUP BY a UNION ALL SELECT node, root, step + 1 FROM (SELECT s.a node, least(any_value(me.root), min(x.root)) root, any_value(x.step) step FROM s JOIN r x ON x.node = s.b JOIN r me ON me.node = s.a GROUP BY s.a) WHERE step < 400)
+ SELECT node, min(root) root FROM r GROUP BY 1""")
 def n44(spark, d):
     c = complete(spark, d)
     return resolve.lookup_components(c.select(F.concat_ws(":", F.col("kt").cast("string"), "kv").alias("a"), F.concat_ws(":", F.col("ct").cast("string"), "cv").alias("b")), "a", "b")
