@@ -61,7 +61,19 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_overlaps": p4_overlaps, "p6_found": p6_found}
-ORACLES: dict[str, str] = {}
+_NODE = "{0}::VARCHAR || ':' || upper(trim({1}))"
+_MEMBERS = """m AS (SELECT DISTINCT 'entity' k, source_id s, nullif(lower(trim(entity_id, ' {}')), '') i FROM entity_evidence_resolution WHERE nullif(lower(trim(entity_id, ' {}')), '') IS NOT NULL
+  UNION ALL SELECT DISTINCT 'relation', source_id, nullif(lower(trim(relation_id, ' {}')), '') FROM relation_evidence_relation WHERE nullif(lower(trim(relation_id, ' {}')), '') IS NOT NULL), z AS (SELECT k, s, count(*) n FROM m GROUP BY 1, 2)"""
+ORACLES: dict[str, str] = {
+    "p2_found": f"""WITH RECURSIVE e AS (SELECT DISTINCT {_NODE.format('key_identifier_type_id', 'key_value')} a, {_NODE.format('canonical_identifier_type_id', 'canonical_identifier')} b FROM chemical_identifier_lookup WHERE trim(key_value) <> '' AND trim(canonical_identifier) <> ''),
+ s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, root, step) AS (SELECT a, least(a, min(b)), 1 FROM s GROUP BY a
+  UNION ALL SELECT node, root, step + 1 FROM (SELECT s.a node, least(any_value(me.root), min(x.root)) root, any_value(x.step) step, any_value(me.root) was FROM s JOIN r x ON x.node = s.b JOIN r me ON me.node = s.a GROUP BY s.a) WHERE step < 400)
+ SELECT node node_key, min(root) group_key FROM r GROUP BY 1""",
+    "p4_found": f"WITH {_MEMBERS} SELECT a.s source_a_id, b.s source_b_id, a.k content_kind FROM m a JOIN m b ON a.k = b.k AND a.i = b.i AND a.s < b.s JOIN z x ON x.k = a.k AND x.s = a.s JOIN z y ON y.k = b.k AND y.s = b.s GROUP BY a.s, b.s, a.k, x.n, y.n HAVING count(*) >= 0.25 * least(x.n, y.n)",
+    "p6_found": """WITH r AS (SELECT DISTINCT * FROM entity_evidence_resolution), e AS (SELECT lower(trim(entity_id, ' {}')) eid, min(canonical_identifier_type_id) t, min(CASE WHEN lower(trim(canonical_identifier)) NOT IN ('', '-', '--', '?', '.', 'n/a', 'n.a.', 'na', 'none', 'null', 'nil', 'nan', 'unknown', 'not available') THEN trim(canonical_identifier) END) c FROM entity GROUP BY 1),
+ x AS (SELECT r.source_id, r.entity_evidence_id, t, c, coalesce(trust_rank, 99) k, resolved_at, count(*) OVER (PARTITION BY r.source_id, r.entity_evidence_id) n FROM r LEFT JOIN e ON e.eid = lower(trim(r.entity_id, ' {}')) LEFT JOIN vocab_resolution_mechanism v ON regexp_replace(lower(r.resolution_mechanism), '[-_ ]', '', 'g') = regexp_replace(lower(v.resolution_mechanism), '[-_ ]', '', 'g'))
+ SELECT source_id, entity_evidence_id, arg_min(t, (k, -epoch_us(resolved_at), t)) FILTER (t IS NOT NULL) canonical_identifier_type_id, arg_min(c, (k, -epoch_us(resolved_at), c)) FILTER (c IS NOT NULL) canonical_identifier FROM x WHERE n > 1 GROUP BY 1, 2 HAVING count(t) > 0 AND count(c) > 0""",
+}
 
 
 def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
