@@ -43,8 +43,8 @@ def ambiguous_values(mentions: DataFrame, inchikey_type: int) -> DataFrame:
 def fallback_pick(mentions: DataFrame, anchors: DataFrame, ambiguous: DataFrame, tiers: dict[int, tuple[int, str]], name_types: list[int]) -> DataFrame:
     """(evidence_id, canonical_type, canonical_id, mechanism): the best identity of mentions that no lookup resolves.
 
-    Candidates are the mention's identifiers at the tier of their type and the anchors of those, before them. Names that are
-    InChIKeys, numbers, shorter than two signs or ambiguous do not count. Order: tier, anchored first, identifier.
+    Candidates are the mention's identifiers at the tier of their type, and the anchors of those at tier 0 (structure) or 2. Names
+    that are InChIKeys, numbers, shorter than two signs or ambiguous do not count. Order: tier, own before anchored, identifier.
     """
     tier = F.create_map(*[F.lit(x) for t, (n, _) in tiers.items() for x in (t, n)])
     how = F.create_map(*[F.lit(x) for t, (_, m) in tiers.items() for x in (t, m)])
@@ -54,9 +54,9 @@ def fallback_pick(mentions: DataFrame, anchors: DataFrame, ambiguous: DataFrame,
     own = own.where(~junk)
     taken = ambiguous.select("key_type", F.col("key_value").alias("low")).where(F.col("key_type").isin(name_types))
     own = own.withColumn("low", F.lower(F.trim("key_value"))).join(taken, ["key_type", "low"], "left_anti")
-    plain = own.select("evidence_id", F.col("key_type").alias("canonical_type"), F.col("key_value").alias("canonical_id"), tier[F.col("key_type").cast("int")].alias("tier"), how[F.col("key_type").cast("int")].alias("mechanism"), F.lit(1).alias("own"))
-    hung = own.join(anchors, ["key_type", "key_value"]).select("evidence_id", F.col("anchor_type").alias("canonical_type"), F.col("anchor_id").alias("canonical_id"), F.when(F.col("anchor_id").rlike(INCHIKEY), 0).otherwise(2).alias("tier"), F.when(F.col("anchor_id").rlike(INCHIKEY), "anchored_structure").otherwise("anchored_chebi").alias("mechanism"), F.lit(0).alias("own"))
-    best = top1(hung.unionByName(plain), ["evidence_id"], [("tier", True), ("own", True), ("canonical_id", True)])
+    plain = own.select("evidence_id", F.col("key_type").alias("canonical_type"), F.col("key_value").alias("canonical_id"), tier[F.col("key_type").cast("int")].alias("tier"), how[F.col("key_type").cast("int")].alias("mechanism"), F.lit(0).alias("hung"))
+    hung = own.join(anchors, ["key_type", "key_value"]).select("evidence_id", F.col("anchor_type").alias("canonical_type"), F.col("anchor_id").alias("canonical_id"), F.when(F.col("anchor_id").rlike(INCHIKEY), 0).otherwise(2).alias("tier"), F.when(F.col("anchor_id").rlike(INCHIKEY), "anchored_structure").otherwise("anchored_chebi").alias("mechanism"), F.lit(1).alias("hung"))
+    best = top1(hung.unionByName(plain), ["evidence_id"], [("tier", True), ("hung", True), ("canonical_id", True)])
     return best.select("evidence_id", "canonical_type", "canonical_id", "mechanism")
 
 

@@ -168,7 +168,7 @@ def project(records: DataFrame) -> DataFrame:
                     rows.append({"tag": "broken", "source": s, "dataset": d, "row_id": i})
                     continue
                 rows += flatten(node, s, d, int(i))
-            yield pd.DataFrame(rows, columns=COLUMNS)
+            yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
 
     return records.select("source", "dataset", "row_id", "record").mapInPandas(run, SCHEMA)
 

@@ -215,9 +215,9 @@ _T = ", ".join(f"({t}, {n}, '{m}')" for t, (n, m) in FALLBACK.items())
 
 
 @query("n18_fallback_pick", f"""WITH {ANCHORS}, tiers(key_type, tier, mechanism) AS (VALUES {_T}), cand AS (
-  SELECT evidence_id, key_type canonical_type, key_value canonical_id, tier, mechanism, 1 own FROM pairs JOIN tiers USING (key_type)
-  UNION ALL SELECT evidence_id, anchor_type, anchor_id, CASE WHEN anchor_type = 13 THEN 0 ELSE 2 END, CASE WHEN anchor_type = 13 THEN 'anchored_structure' ELSE 'anchored_chebi' END, 0 FROM pairs JOIN tiers USING (key_type) JOIN anchors USING (key_type, key_value))
- SELECT evidence_id, canonical_type, canonical_id, mechanism FROM (SELECT *, row_number() OVER (PARTITION BY evidence_id ORDER BY tier, own, canonical_id, canonical_type) r FROM cand) WHERE r = 1""")
+  SELECT evidence_id, key_type canonical_type, key_value canonical_id, tier, mechanism, 0 hung FROM pairs JOIN tiers USING (key_type)
+  UNION ALL SELECT evidence_id, anchor_type, anchor_id, CASE WHEN anchor_type = 13 THEN 0 ELSE 2 END, CASE WHEN anchor_type = 13 THEN 'anchored_structure' ELSE 'anchored_chebi' END, 1 FROM pairs JOIN tiers USING (key_type) JOIN anchors USING (key_type, key_value))
+ SELECT evidence_id, canonical_type, canonical_id, mechanism FROM (SELECT *, row_number() OVER (PARTITION BY evidence_id ORDER BY tier, hung, canonical_id, canonical_type) r FROM cand) WHERE r = 1""")
 def n18(spark, d):
     p = pairs(spark, d)
     return chemicals.fallback_pick(p, chemicals.anchor_map(p, INCHIKEY, CHEBI), chemicals.ambiguous_values(p, INCHIKEY), FALLBACK, [NAME, SYNONYM])
