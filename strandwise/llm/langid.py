@@ -22,6 +22,8 @@ LANGUAGES = {
 CODES = list(LANGUAGES)
 #: A segment that the model rejects.
 NONE = "und"
+#: Words of texts that are segmented together; a longer text is segmented alone.
+CELLS = 60_000
 
 
 def named_language(label: Column) -> Column:
@@ -273,11 +275,13 @@ def segment(texts: list[str], m: Model) -> list[list[tuple[int, int, int, str, f
     lens = np.array([len(w) for w, _ in read])
     n_states = len(CODES) + 1
     out: list[list] = [[] for _ in texts]
-    order = np.argsort(lens, kind="stable")
-    for a in range(0, len(order), 256):
-        rows = [i for i in order[a : a + 256] if lens[i]]
-        if not rows:
-            continue
+    groups: list[list[int]] = []
+    for i in np.argsort(lens, kind="stable"):  # texts of like length together, at most CELLS places at a time
+        if lens[i] and groups and (len(groups[-1]) + 1) * lens[i] <= CELLS:
+            groups[-1].append(i)
+        elif lens[i]:
+            groups.append([i])
+    for rows in groups:
         longest = lens[rows[-1]]
         emit = np.zeros((len(rows), longest, n_states), np.float32)
         first = np.zeros((len(rows), longest), bool)
