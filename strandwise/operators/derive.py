@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions.ids import sorted_text
 from strandwise.operators.pick import top1
+from strandwise.operators.skew import small
 
 BITS = 32768
 
@@ -85,7 +86,7 @@ def term_table(terms: DataFrame) -> DataFrame:
 
 def most_specific_class(rows: DataFrame, rules: DataFrame, item: str, by: str, default: str) -> DataFrame:
     """(item, class): of the classes that rules (by, class, precedence) give an item's rows the one of least precedence, else the default."""
-    hit = rows.select(item, by).distinct().join(F.broadcast(rules), by).groupBy(item).agg(F.min(F.struct("precedence", "class"))["class"].alias("class"))
+    hit = rows.select(item, by).distinct().join(small(rules), by).groupBy(item).agg(F.min(F.struct("precedence", "class"))["class"].alias("class"))
     return rows.select(item).distinct().join(hit, item, "left").select(item, F.coalesce("class", F.lit(default)).alias("class"))
 
 

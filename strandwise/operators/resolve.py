@@ -171,3 +171,22 @@ def lookup_components(rows: DataFrame, left: str, right: str, rounds: int = 50)
 def best_representative_of(rows: DataFrame, keys: list[str], value: str, preferred: str) -> DataFrame:
     """Per key the preferred (true first), then smallest value, and whether it was preferred."""
     return top1(rows.select(*keys, value, (~F.col(preferred)).cast("int").alias("__rank")).distinct(), keys, [("__rank", True), (value, True)]).select(*keys, value, (F.col("__rank") == 0).alias(preferred))
+
+
+def overlay(resolutions: list[DataFrame], key: str = "evidence_id") -> DataFrame:
+    """One row per mention: that of the first frame that has it. The frames have equal columns and unique keys."""
+    out = None
+    for i, r in enumerate(resolutions):
+        part = r.withColumn("__order", F.lit(i))
+        out = part if out is None else out.unionByName(part)
+    rest = [c for c in resolutions[0].columns if c != key]
+    best = out.groupBy(key).agg(F.min(F.struct("__order", F.struct(*rest).alias("r")))["r"].alias("r"))
+    return best.select(key, *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
+def first_method(steps: list[DataFrame], key: str) -> DataFrame:
+    """(key, how, target): of the answers of several methods that of the earliest, then the smallest."""
+    out = steps[0]
+    for s in steps[1:]:
+        out = out.unionByName(s)
+    return top1(out, [key], [("how", True), ("target", True)])

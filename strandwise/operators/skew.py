@@ -41,3 +41,12 @@ def join_unique(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
     cold_rows = big.where(~F.coalesce(is_hot, F.lit(False)))
     cold = cold_rows.join(small.where(~is_hot), key, how)
     return big.where(is_hot).join(F.broadcast(small.where(is_hot)), key, how).unionByName(cold)
+
+
+#: Rows up to which a dimension is broadcast; counted before, never assumed.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` marked for broadcast if it has at most `most` rows (at most that many are counted), else as it is: then the join shuffles."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandwise.operators.skew import small
+
 
 def encode(df: DataFrame, dictionaries: dict[str, DataFrame]) -> DataFrame:
     """Replaces each named text column by its number: column name -> dictionary (name, number). Unknown names give null."""
     for c, d in dictionaries.items():
         name, number = d.columns[:2]
-        df = df.join(F.broadcast(d.select(F.col(name).alias(c), F.col(number).alias("__n"))), c, "left").withColumn(c, F.col("__n")).drop("__n")
+        df = df.join(small(d.select(F.col(name).alias(c), F.col(number).alias("__n"))), c, "left").withColumn(c, F.col("__n")).drop("__n")
     return df
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandwise.plans import evidence, reference, relational
+from strandwise.plans import composite, evidence, reference, relational
 
-QUERIES: dict = evidence.QUERIES | reference.QUERIES | relational.QUERIES
-ORACLES: dict[str, str] = evidence.ORACLES | reference.ORACLES | relational.ORACLES
+QUERIES: dict = evidence.QUERIES | reference.QUERIES | composite.QUERIES | relational.QUERIES
+ORACLES: dict[str, str] = evidence.ORACLES | reference.ORACLES | composite.ORACLES | relational.ORACLES
