@@ -142,7 +142,7 @@ def j14(spark, d):
 
 @query("j17_split_names", "SELECT DISTINCT identifier_id, trim(s) part FROM (SELECT identifier_id, unnest(string_split(value, ';')) s FROM identifier_evidence) WHERE trim(s) <> ''")
 def j17(spark, d):
-    return table(spark, d, "identifier_evidence").select("identifier_id", F.explode(F.transform(F.split("value", ";"), F.trim)).alias("part")).where("part <> ''").distinct()
+    return table(spark, d, "identifier_evidence").select("identifier_id", F.explode(F.transform(F.split("value", ";"), lambda x: F.trim(x))).alias("part")).where("part <> ''").distinct()
 
 
 @query("w5_nulls_last_pick", "SELECT source_id, entity_id FROM (SELECT source_id, entity_id, row_number() OVER (PARTITION BY source_id ORDER BY entity_id IS NULL, entity_id) r FROM entity_evidence_resolution) WHERE r = 1")
