@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandwise.llm.sample import labelled_sample
+
 # Languages with their two- and three-letter codes and English name.
 LANGUAGES = {
     "en": ["en", "eng", "english"], "de": ["de", "deu", "ger", "german"], "fr": ["fr", "fra", "fre", "french"], "es": ["es", "spa", "spanish"],
@@ -221,17 +223,11 @@ def train(docs: DataFrame, doc_id: str, text: str, label: str, p: Params = Param
     A tenth of the sentences calibrates: the temperature minimises their log loss, and the least score per word keeps
     the share `accepted` of those it gets right. Half of the training sentences also come without accents.
     """
-    named = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), named_language(F.col(label)).alias("code")).where("code is not null and text is not null and length(text) > 40")
-    hashed = named.select("code", F.struct(F.xxhash64("id").alias("h"), F.col("id").cast("string").alias("i")).alias("key"), F.substring("text", 1, 4000).alias("text"))
-    picked = None
-    for code in CODES:
-        part = hashed.where(F.col("code") == code).orderBy("key").limit(p.per_language)
-        picked = part if picked is None else picked.unionByName(part)
     sentences, labels = [], []
-    for r in sorted(picked.collect(), key=lambda r: (r["code"], r["key"])):
-        own = _sentences(r["text"])
+    for code, body in labelled_sample(docs, doc_id, text, named_language(F.col(label)), p.per_language):
+        own = _sentences(body)
         sentences += own
-        labels += [CODES.index(r["code"])] * len(own)
+        labels += [CODES.index(code)] * len(own)
     y = np.array(labels, dtype=np.int64)
     if not len(y):
         return Model(p, np.zeros((p.buckets, p.dims), np.float32), np.zeros((p.dims, len(CODES)), np.float32), np.zeros(len(CODES), np.float32), least=1.0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions.text import no_text, outer_trim, plain_id, squeeze
 from strandwise.llm import components, langid, leakage, mixing, overlap, survivor
-from strandwise.operators.skew import join_unique
+from strandwise.operators.skew import join_unique, small
 from strandwise.session import table
 
 
@@ -51,7 +51,7 @@ def evidence_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ent = table(spark, sf_dir, "entity").select(plain_id(F.col("entity_id")).alias("eid"), F.col("canonical_identifier_type_id").alias("t"), F.when(~no_text(F.col("canonical_identifier")), outer_trim(F.col("canonical_identifier"))).alias("c"))
     ent = ent.where(F.col("eid").isNotNull()).groupBy("eid").agg(F.min("t").alias("canonical_identifier_type_id"), F.min("c").alias("canonical_identifier"))
     best = ranks.groupBy("mechanism").agg(F.min("trust_rank").alias("trust_rank"))
-    return join_unique(rows, ent, "eid", "left").join(F.broadcast(best), "mechanism", "left")
+    return join_unique(rows, ent, "eid", "left").join(small(best), "mechanism", "left")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
