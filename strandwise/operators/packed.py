@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.functions.text import no_text
+from strandwise.session import spread
 
 #: A word that stands in at least this share of a class's fields (and in WORD_LEAST fields) is kept in shapes as it is.
 WORD_SHARE, WORD_LEAST = 0.002, 5
@@ -190,7 +191,7 @@ def shape_counts(rows: DataFrame, words: dict[str, frozenset[str]]) -> dict[str,
                 n.clear()
         yield pd.DataFrame([(*k, x) for k, x in n.items()], columns=["class", "shape", "n"])
 
-    counts = rows.select("class", "value").mapInPandas(count, "class string, shape string, n long").groupBy("class", "shape").agg(F.sum("n").alias("n"))
+    counts = spread(rows.select("class", "value")).mapInPandas(count, "class string, shape string, n long").groupBy("class", "shape").agg(F.sum("n").alias("n"))
     size = rows.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
     kept = counts.where(F.col("n") >= SHAPE_LEAST).join(F.broadcast(size), "class").where(F.col("n") >= SHAPE_SHARE * F.col("size"))
     out: dict[str, dict[str, int]] = defaultdict(dict)

@@ -76,3 +76,13 @@ class Scratch:
             self._remove(self.root)
         except Exception:  # the JVM may be gone already
             pass
+
+
+def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
+    """`df` in at least `per_core` partitions per core, for work that Python does row by row.
+
+    Inputs of few files or splits would leave cores idle; those are small, so moving their rows once is cheap. Larger
+    inputs have enough splits and stay where they are.
+    """
+    want = per_core * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df._jdf.rdd().getNumPartitions() < want else df
