@@ -14,17 +14,21 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: Edges up to which one task may take all rows of a hub; the sketch that finds hubs would cost more. The result is the same.
+FEW_EDGES = 2_000_000
+
+
+def _large_star(edges: DataFrame, hot: list | None) -> DataFrame:
     """Each neighbour above v hangs on the smallest neighbour of v (or v itself)."""
     least = _least_neighbour(edges).withColumnRenamed("u", "v")
-    joined = join_unique(edges, least, "v", "left")
+    joined = join_unique(edges, least, "v", "left", hot)
     return joined.select("u", F.coalesce("m", "v").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hot: list | None) -> DataFrame:
     """u and all its neighbours below hang on the smallest of them."""
     least = _least_neighbour(edges)
-    joined = join_unique(edges, least, "u", "inner")
+    joined = join_unique(edges, least, "u", "inner", hot)
     below = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return below.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -58,10 +62,11 @@ def connected_groups(pairs: DataFrame, left: str, right: str, max_rounds: int =
     coded = join_unique(links, nodes.select(F.col("node_key").alias("a"), F.col("nid").alias("u")), "a")
     coded = join_unique(coded, nodes.select(F.col("node_key").alias("b"), F.col("nid").alias("v")), "b")
     edges = scratch.write(coded.select("u", "v"))
-    seen = None
+    seen = _signature(edges)
     for _ in range(max_rounds):
-        large = scratch.write(_large_star(edges))
-        small = scratch.write(_small_star(large))
+        hot = [] if seen[0] <= FEW_EDGES else None
+        large = scratch.write(_large_star(edges, hot))
+        small = scratch.write(_small_star(large, hot))
         scratch.drop(edges)
         scratch.drop(large)
         edges, now = small, _signature(small)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.llm.sample import labelled_sample
+from strandwise.session import spread
 
 # Languages with their two- and three-letter codes and English name.
 LANGUAGES = {
@@ -341,7 +342,7 @@ def language_segments(docs: DataFrame, doc_id: str, text: str, model: Model) ->
             yield out.drop(columns="i")
 
     kind = dict(docs.dtypes)[doc_id]
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, f"doc_id {kind}, segment_no int, first_word int, n_words int, lang_code string, confidence double")
+    return spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).mapInPandas(run, f"doc_id {kind}, segment_no int, first_word int, n_words int, lang_code string, confidence double")
 
 
 def document_languages(segments: DataFrame) -> DataFrame:

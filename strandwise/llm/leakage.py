@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.session import Scratch
+from strandwise.session import Scratch, spread
 
 _MARKUP = re.compile(r"<[^<>]{1,200}>|\[\d{1,4}\]|&#?\w{1,8};")
 _WORD = re.compile(r"[^\W_]+")
@@ -209,7 +209,7 @@ def latent_space(coded: DataFrame, items: Items, idf: np.ndarray, other: float,
             whole = np.sum([np.frombuffer(x, np.float32).astype(np.float64) for x in pdf["part"]], axis=0)
             return pd.DataFrame({"block": [pdf["block"].iloc[0]], "part": [whole.tobytes()]})
 
-        parts = coded.mapInPandas(part, "block int, part binary")
+        parts = spread(coded).mapInPandas(part, "block int, part binary")
         # two levels of sums, so no task adds the parts of all others
         mid = parts.withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(64))).groupBy("block", "lane").applyInPandas(lambda pdf: add(pdf).assign(part=lambda d: [np.frombuffer(x, np.float64).astype(np.float32).tobytes() for x in d["part"]]), "block int, part binary")
         out = np.zeros((items.size, width))
@@ -268,7 +268,7 @@ def _search(docs: DataFrame, items: Items, p: Params, scratch: Scratch) -> DataF
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "words": [known.encode(words(t)).tobytes() for t in pdf["text"]]})
 
-    coded = scratch.write(docs.mapInPandas(encode, f"doc_id {id_type}, words binary"))
+    coded = scratch.write(spread(docs).mapInPandas(encode, f"doc_id {id_type}, words binary"))
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, n, df = given.value, 0, np.zeros(given.value.size, np.int64)
@@ -281,7 +281,7 @@ def _search(docs: DataFrame, items: Items, p: Params, scratch: Scratch) -> DataF
         yield pd.DataFrame({"f": np.r_[-1, at], "n": np.r_[n, df[at]]})
 
     df, n_docs = np.zeros(items.size), 1
-    for r in coded.mapInPandas(frequencies, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect():
+    for r in spread(coded).mapInPandas(frequencies, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect():
         if r["f"] < 0:
             n_docs = max(1, r["n"])
         else:
@@ -341,7 +341,7 @@ def _search(docs: DataFrame, items: Items, p: Params, scratch: Scratch) -> DataF
                     res.append((pdf["doc_id"].iloc[doc], iid, span, bad, share, answer, kind))
             yield pd.DataFrame(res, columns=["doc_id", "item_id", "span_words", "span_edits", "common_share", "has_answer", "kind"])
 
-    return coded.mapInPandas(search, f"doc_id {id_type}, item_id long, span_words int, span_edits int, common_share double, has_answer boolean, kind string")
+    return spread(coded).mapInPandas(search, f"doc_id {id_type}, item_id long, span_words int, span_edits int, common_share double, has_answer boolean, kind string")
 
 
 def _names(items: Items) -> list[str]:
