@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 #: Share of the identifiers whose hash lies below the common threshold.
 SAMPLE_RATE = 1 / 16
-#: Width of the confidence interval in standard errors; about one in 16 000 intervals misses.
-Z = 4.0
+#: Width of the confidence interval in standard errors; fewer than one in a million intervals miss.
+Z = 5.0
 
 
 def _below(rate: float):
