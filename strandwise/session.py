@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -82,7 +83,10 @@ def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
     """`df` in at least `per_core` partitions per core, for work that Python does row by row.
 
     Inputs of few files or splits would leave cores idle; those are small, so moving their rows once is cheap. Larger
-    inputs have enough splits and stay where they are.
+    inputs have enough splits and stay where they are, and so does what comes out of a shuffle: to ask for its
+    partitions would run it.
     """
     want = per_core * df.sparkSession.sparkContext.defaultParallelism
+    if re.search(r"Aggregate|SortMergeJoin|ShuffledHashJoin|CartesianProduct|Window|Repartition|Exchange|MapInPandas", df._jdf.queryExecution().sparkPlan().toString()):
+        return df
     return df.repartition(want) if df._jdf.rdd().getNumPartitions() < want else df
