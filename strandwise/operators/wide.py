@@ -31,7 +31,8 @@ def usable_cells(annotation: DataFrame, attributes: list[tuple[str, str, str]])
     """
     spark = annotation.sparkSession
     names = [(acc, i, kind) for i, (acc, _, kind) in enumerate(attributes)] + [("name:" + "".join(name.lower().split()), i, kind) for i, (_, name, kind) in enumerate(attributes)]
-    lookup = spark.createDataFrame(names, "attr string, pos int, kind string").dropDuplicates(["attr"])
+    first = {attr: (attr, i, kind) for attr, i, kind in reversed(names)}
+    lookup = spark.createDataFrame(list(first.values()), "attr string, pos int, kind string")
     term = annotation.select("annotation_key", "value", F.coalesce(accession_of(F.col("term")), F.concat(F.lit("name:"), squeeze(F.col("term")))).alias("attr"))
     typed = with_typed_text(term.join(F.broadcast(lookup), "attr"), "kind", "value", "cell")
     # explode, not a filter: a filter would be pushed down and evaluate the whole reading twice

@@ -67,7 +67,7 @@ def with_attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """annotation with the accession of its attribute, told by the term's accession or else its name."""
     types = wide.attribute_list(table(spark, sf_dir, "annotation_term_type"))
     names = [(acc, acc) for acc, _, _ in types] + [("name:" + "".join(n.lower().split()), acc) for acc, n, _ in types]
-    lookup = spark.createDataFrame(names, "attr string, accession string").dropDuplicates(["attr"])
+    lookup = spark.createDataFrame(list(dict(reversed(names)).items()), "attr string, accession string")
     a = table(spark, sf_dir, "annotation").withColumn("attr", F.coalesce(accession_of(F.col("term")), F.concat(F.lit("name:"), squeeze(F.col("term")))))
     return a.join(F.broadcast(lookup), "attr", "left")
 
