@@ -20,7 +20,7 @@ _WORD = re.compile(r"[^\W_]+")
 
 def words(text: str) -> list[str]:
     """Words without case, accents, punctuation and markup; citation marks such as [12] are markup."""
-    t = _MARKUP.sub(" ", text)
+    t = _MARKUP.sub(" ", text) if "<" in text or "[" in text or "&" in text else text
     if not t.isascii():
         t = "".join(c for c in unicodedata.normalize("NFKD", t.casefold()) if not unicodedata.combining(c))
     return _WORD.findall(t.lower())
@@ -61,7 +61,8 @@ class Items:
         self.at = np.array(starts, dtype=np.int64).reshape(-1, 2)
 
     def encode(self, toks: list[str]) -> np.ndarray:
-        return np.fromiter((self.vocab.get(w, -1) for w in toks), np.int32, len(toks))
+        get = self.vocab.get
+        return np.array([get(w, -1) for w in toks], dtype=np.int32)
 
     def features(self, t: np.ndarray) -> np.ndarray:
         """(2, n): the word and the pair that begin at each place, -1 where the items lack them."""
@@ -150,6 +151,11 @@ def longest_leak(path: np.ndarray, edits: float) -> tuple[int, int]:
         return (len(path), 0)
     step = np.diff(path, axis=0) - 1
     bad = np.concatenate([[0], np.cumsum(step.max(1))])
+    if len(path) <= 2000:  # all starts and ends at once
+        spans, worse = path[None, :, 0] - path[:, None, 0] + 1, bad[None, :] - bad[:, None]
+        fits = np.where((spans > 0) & (worse <= edits * spans), spans, 0)
+        at = int(fits.argmax())
+        return (int(fits.flat[at]), int(worse.flat[at]))
     for k in range(len(path)):
         span = path[k:, 0] - path[k, 0] + 1
         ok = np.flatnonzero(bad[k:] - bad[k] <= edits * span)
