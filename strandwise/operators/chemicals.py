@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.operators.pick import top1, value_counts
-from strandwise.operators.resolve import INCHIKEY
+from strandwise.operators.resolve import INCHIKEY, lookup_components
+from strandwise.operators.skew import join_unique
+from strandwise.session import Scratch
 
 #: Prefix lengths of an InChIKey that keep connectivity, stereochemistry, and everything.
 LEVELS = {"connectivity": 14, "stereo": 25, "full": 27}
@@ -97,3 +99,56 @@ def collapsed_relations(relations: DataFrame, structures: DataFrame, sources: Da
     n = rows.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n_relations"))
     src = rows.join(sources.select("relation_id", "source_id").distinct(), "relation_id").select(*keys, "source_id").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n_sources"))
     return n.join(src, keys, "left").withColumn("n_sources", F.coalesce("n_sources", F.lit(0)))
+
+
+def number_first(value: Column) -> Column:
+    """Sort key of an identifier: numbers, also behind a prefix such as CHEBI:, by size and before all others."""
+    bare = F.regexp_replace(value, r"^[A-Za-z]+:", "")
+    number, digits = bare.rlike(r"^[0-9]+$"), F.regexp_replace(bare, r"^0+(?=.)", "")
+    return F.struct(F.when(number, 0).otherwise(1), F.when(number, F.length(digits)).otherwise(0), F.when(number, digits).otherwise(value), value.alias("v"))
+
+
+def cluster_lookup(rows: DataFrame, hits: DataFrame, structure_type: int, preferred: list[int]) -> DataFrame:
+    """(key_type, key_value, canonical_type, canonical_id): one canonical identifier for all that share rows, directly or through others.
+
+    rows: row_id, key_type, key_value; hits: key_type, key_value, structure. A component that reaches exactly one structure gets that, else its
+    least identifier of the first of the preferred types that it has (numbers by size), else its least identifier by type and value.
+    """
+    label = F.concat_ws(":", F.col("key_type").cast("string"), "key_value")
+    members = rows.where("key_value <> ''").select("row_id", "key_type", "key_value", label.alias("node")).distinct()
+    # a row is a node beside its identifiers, so n identifiers of a row need n edges
+    roots = lookup_components(members.select("node", F.concat(F.lit("row "), F.col("row_id").cast("string")).alias("row")), "node", "row")
+    nodes = Scratch(rows.sparkSession).write(members.select("node", "key_type", "key_value").distinct().join(roots, "node"))
+    met = nodes.select("node", "root").join(hits.where("structure <> ''").select(label.alias("node"), "structure").distinct(), "node")
+    structures = met.groupBy("root").agg(F.min("structure").alias("s"), F.max("structure").alias("other")).where("s = other").select("root", "s")
+    least = [F.min(F.when(F.col("key_type") == t, number_first(F.col("key_value"))))["v"].alias(f"p{i}") for i, t in enumerate(preferred)]
+    picks = nodes.groupBy("root").agg(F.min(F.struct("key_type", "key_value")).alias("any"), *least).join(structures, "root", "left")
+    kind = F.when(F.col("s").isNotNull(), structure_type)
+    for i, t in enumerate(preferred):
+        kind = kind.when(F.col(f"p{i}").isNotNull(), t)
+    picks = picks.select("root", kind.otherwise(F.col("any.key_type")).cast("bigint").alias("canonical_type"), F.coalesce("s", *[f"p{i}" for i in range(len(preferred))], "any.key_value").alias("canonical_id"))
+    return join_unique(nodes.select("root", "key_type", "key_value"), picks, "root").drop("root")
+
+
+def chebi_clusters(references: DataFrame, chebi_type: int, structure_type: int, shared_types: list[int], structural_types: list[int]) -> DataFrame:
+    """(key_type, key_value, canonical_type, canonical_id) of ChEBI records by their cross references.
+
+    references: chebi, key_type, key_value (a record's own and secondary ids, its InChIKey, and its cross references). A record with an InChIKey leads
+    to that. Records without, that have a reference of the shared types and none of the structural ones, are clustered through their ChEBI ids and
+    shared references; structures of records with an InChIKey count as reached by theirs. All other records whose
+    identifiers are in no cluster stand for themselves.
+    """
+    t = F.col("key_type")
+    own = references.select("chebi", F.lit(chebi_type).cast("bigint").alias("key_type"), F.col("chebi").alias("key_value"))
+    # read several times below
+    refs = Scratch(references.sparkSession).write(references.where("chebi is not null and key_value <> ''").select("chebi", "key_type", "key_value").unionByName(own.where("chebi is not null")).distinct())
+    keys = refs.where(t.isin(chebi_type, *shared_types))
+    structures = refs.where((t == structure_type) & F.col("key_value").rlike(INCHIKEY)).select("chebi", F.col("key_value").alias("structure"))
+    known = keys.join(structures, "chebi")
+    kinds = refs.groupBy("chebi").agg(F.bool_or(t.isin(shared_types)).alias("shares"), F.bool_or(t.isin(structural_types)).alias("structural")).join(structures.select("chebi").distinct(), "chebi", "left_anti")
+    loose = kinds.where("shares and not structural").select("chebi")
+    clusters = Scratch(references.sparkSession).write(cluster_lookup(keys.join(loose, "chebi", "left_semi").withColumnRenamed("chebi", "row_id"), known, structure_type, [chebi_type]))
+    touched = keys.join(clusters.select("key_type", "key_value"), ["key_type", "key_value"], "left_semi").select("chebi").distinct()
+    rest = keys.where(t == chebi_type).join(kinds.select("chebi"), "chebi", "left_semi").join(touched, "chebi", "left_anti")
+    out = clusters.unionByName(known.where(t == chebi_type).select("key_type", "key_value", F.lit(structure_type).cast("bigint").alias("canonical_type"), F.col("structure").alias("canonical_id")))
+    return out.unionByName(rest.select("key_type", "key_value", F.lit(chebi_type).cast("bigint").alias("canonical_type"), F.col("chebi").alias("canonical_id"))).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandwise.functions.ids import content_uuid, unit_joined
-from strandwise.operators import pick, resolve
+from strandwise.operators import chemicals, pick, resolve
 from strandwise.plans import reference as ref
 from strandwise.session import table
 
@@ -119,6 +119,38 @@ def n45(spark, d):
     return c.where("ct = 8").join(structural, ["ct", "cv"], "left_anti").select("kt", "kv", "ct", "cv")
 
 
+# From mem (row_id, t, v) and hits (t, v, ik): clusters (key_type, key_value, canonical_type, canonical_id).
+CLUSTERS = """e AS (SELECT DISTINCT t::VARCHAR || ':' || v a, 'row ' || row_id b FROM mem), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+ r(node, root, step) AS (SELECT a, least(a, min(b)), 1 FROM s GROUP BY a UNION ALL SELECT node, root, step + 1 FROM (SELECT s.a node, least(any_value(me.root), min(x.root)) root, any_value(x.step) step FROM s JOIN r x ON x.node = s.b JOIN r me ON me.node = s.a GROUP BY s.a) WHERE step < 400),
+ roots AS (SELECT node, min(root) root FROM r GROUP BY 1), nd AS (SELECT DISTINCT root, t, v, try_cast(regexp_replace(v, '^[A-Za-z]+:', '') AS HUGEINT) num FROM mem JOIN roots ON node = t::VARCHAR || ':' || v),
+ choice AS (SELECT root, CASE WHEN count(DISTINCT ik) = 1 THEN min(ik) END ik, arg_min(v, (num IS NULL, coalesce(num, 0), v)) FILTER (t = 8) ch, arg_min(v, (num IS NULL, coalesce(num, 0), v)) FILTER (t = 22) rm, arg_min(t, (t, v)) ft, arg_min(v, (t, v)) fv FROM nd LEFT JOIN hits USING (t, v) GROUP BY 1),
+ clusters AS (SELECT t key_type, v key_value, (CASE WHEN ik IS NOT NULL THEN 13 WHEN ch IS NOT NULL THEN 8 WHEN rm IS NOT NULL THEN 22 ELSE ft END)::BIGINT canonical_type, coalesce(ik, ch, rm, fv) canonical_id FROM nd JOIN choice USING (root))"""
+REFMET, KEGG, CAS, LIPIDMAPS = 22, 23, 24, 10
+
+
+@query("n44_cluster_identifiers", f"""WITH RECURSIVE {ref.COMPLETE}, mem AS (SELECT md5(kt::VARCHAR || '|' || kv || '|' || ct::VARCHAR || '|' || cv) row_id, unnest([kt, ct]) t, unnest([kv, cv]) v FROM complete WHERE kt <> 13 AND ct <> 13),
+ hits AS (SELECT kt t, kv v, cv ik FROM complete WHERE kt <> 13 AND ct = 13 AND regexp_matches(cv, {ref.IK}) UNION SELECT ct, cv, kv FROM complete WHERE ct <> 13 AND kt = 13 AND regexp_matches(kv, {ref.IK})), {CLUSTERS} SELECT * FROM clusters""")
+def n44(spark, d):
+    """Rows without an InChIKey are clustered; those with one say which structure the other identifier reaches."""
+    c, ik = ref.complete(spark, d), ref.INCHIKEY
+    two = F.explode(F.array(F.struct(F.col("kt").alias("key_type"), F.col("kv").alias("key_value")), F.struct(F.col("ct").alias("key_type"), F.col("cv").alias("key_value"))))
+    rows = c.where((F.col("kt") != ik) & (F.col("ct") != ik)).select(F.md5(F.concat_ws("|", F.col("kt").cast("string"), "kv", F.col("ct").cast("string"), "cv")).alias("row_id"), two.alias("i")).select("row_id", "i.*")
+    hits = c.where((F.col("kt") != ik) & (F.col("ct") == ik)).select("kt", "kv", "cv").union(c.where((F.col("ct") != ik) & (F.col("kt") == ik)).select("ct", "cv", "kv")).toDF("key_type", "key_value", "structure")
+    return chemicals.cluster_lookup(rows, hits.where(F.col("structure").rlike(resolve.INCHIKEY)), ik, [ref.CHEBI, REFMET])
+
+
+@query("n45_chebi_canonical", f"""WITH RECURSIVE {ref.COMPLETE}, x AS (SELECT 'CHEBI:' || regexp_extract(cv, '^(?:CHEBI:)?([0-9]+)$', 1) chebi, kt t, CASE kt WHEN 8 THEN 'CHEBI:' || regexp_extract(kv, '^(?:CHEBI:)?([0-9]+)$', 1) WHEN 23 THEN upper(kv) ELSE kv END v FROM complete WHERE ct = 8),
+ refs AS (SELECT chebi, t, v FROM x WHERE chebi <> 'CHEBI:' AND v <> 'CHEBI:' UNION SELECT chebi, 8, chebi FROM x WHERE chebi <> 'CHEBI:'), ks AS (SELECT * FROM refs WHERE t IN (8, 23, 24)), st AS (SELECT chebi, v ik FROM refs WHERE t = 13 AND regexp_matches(v, {ref.IK})), hits AS (SELECT DISTINCT t, v, ik FROM ks JOIN st USING (chebi)),
+ bare AS (SELECT chebi, bool_or(t IN (23, 24)) AND NOT bool_or(t IN (9, 10, 12)) loose FROM refs ANTI JOIN st USING (chebi) GROUP BY 1), mem AS (SELECT chebi row_id, t, v FROM ks SEMI JOIN (SELECT chebi FROM bare WHERE loose) USING (chebi)), {CLUSTERS}
+ SELECT * FROM clusters UNION SELECT 8, v, 13, ik FROM hits WHERE t = 8 UNION SELECT 8, v, 8, chebi FROM ks SEMI JOIN bare USING (chebi) WHERE t = 8 AND chebi NOT IN (SELECT chebi FROM ks JOIN clusters ON t = key_type AND v = key_value)""")
+def n45_canonical(spark, d):
+    c = ref.complete(spark, d).where(F.col("ct") == ref.CHEBI)
+    chebi = lambda v: F.concat(F.lit("CHEBI:"), F.nullif(F.regexp_extract(v, r"^(?:CHEBI:)?([0-9]+)$", 1), F.lit("")))
+    value = F.when(F.col("kt") == ref.CHEBI, chebi("kv")).when(F.col("kt") == KEGG, F.upper("kv")).otherwise(F.col("kv"))
+    refs = c.select(chebi("cv").alias("chebi"), F.col("kt").alias("key_type"), value.alias("key_value"))
+    return chemicals.chebi_clusters(refs, ref.CHEBI, ref.INCHIKEY, [KEGG, CAS], [ref.PUBCHEM, ref.HMDB, LIPIDMAPS])
+
+
 @query("n92_name_cascade", "WITH m AS (SELECT DISTINCT entity_id, lower(trim(label)) n, taxonomy_id t FROM entity WHERE entity_type_id = 2), c AS (SELECT entity_id, 1 how, t::VARCHAR target FROM m WHERE t = 10116 UNION ALL SELECT entity_id, 2, n FROM m WHERE n LIKE '%5' UNION ALL SELECT entity_id, 3, 'gene' FROM m WHERE n IS NOT NULL) SELECT entity_id, arg_min(how, how) how, arg_min(target, (how, target)) target FROM c GROUP BY 1")
 def n92(spark, d):
     m = table(spark, d, "entity").where("entity_type_id = 2").select("entity_id", F.lower(F.trim("label")).alias("n"), F.col("taxonomy_id").alias("t")).distinct()
