@@ -38,6 +38,28 @@ def transport_view(edges: DataFrame, nodes: DataFrame, name: str, middle_type: i
     return hops.groupBy("protein_id", "compound_id").agg(F.countDistinct("step_id").alias("n_transports")).select(F.lit(name).alias("network"), "protein_id", "compound_id", "n_transports")
 
 
+def annotated_transports(edges: DataFrame, nodes: DataFrame, annotations: DataFrame, name: str, middle_type: int, controls: int, takes_part: int, reactant: list[str], product: list[str], compartment: list[str]) -> DataFrame:
+    """(network, source_id, relation_evidence_id, step_id, protein_id, compound_id, is_reactant, is_product, compartment_from, compartment_to, direction).
+
+    edges: source_id, relation_evidence_id, subject_id, predicate_id, object_id; annotations: source_id, relation_evidence_id, term, value, of
+    which the lists name the terms of roles and compartments. One row per control of a step and compound of that step, within a source. A participation
+    has its roles and its greatest compartment; the compound comes from the greatest compartment of those as a reactant, and goes to that as a product.
+    """
+    mid = nodes.where(F.col("entity_type_id") == middle_type).select(F.col("entity_id").alias("step_id")).distinct()
+    key = ["source_id", "relation_evidence_id"]
+    c = edges.where(F.col("predicate_id") == controls).select(*key, F.col("subject_id").alias("protein_id"), F.col("object_id").alias("step_id")).distinct().join(mid, "step_id", "left_semi")
+    p = edges.where(F.col("predicate_id") == takes_part).select(*key, F.col("subject_id").alias("step_id"), F.col("object_id").alias("compound_id")).distinct().join(mid, "step_id", "left_semi")
+    term = F.col("term")
+    says = annotations.groupBy(*key).agg(F.bool_or(term.isin(reactant)).alias("r"), F.bool_or(term.isin(product)).alias("p"), F.max(F.when(term.isin(compartment), F.col("value"))).alias("place"))
+    flag = lambda n: F.coalesce(F.bool_or(n), F.lit(False))
+    taken = p.join(says, key, "left").groupBy("source_id", "step_id", "compound_id").agg(
+        flag("r").alias("is_reactant"), flag("p").alias("is_product"), F.max(F.when(F.col("r"), F.col("place"))).alias("compartment_from"), F.max(F.when(F.col("p"), F.col("place"))).alias("compartment_to")
+    )
+    left, arrives = F.col("compartment_from").isNotNull(), F.col("compartment_to").isNotNull()
+    direction = F.when(left & arrives, "reactant_to_product").when(left, "reactant").when(arrives, "product").alias("direction")
+    return c.join(taken, ["source_id", "step_id"]).select(F.lit(name).alias("network"), *key, "step_id", "protein_id", "compound_id", "is_reactant", "is_product", "compartment_from", "compartment_to", direction)
+
+
 def pair_view(evidence: DataFrame, sides: DataFrame) -> DataFrame:
     """(ligand_id, receptor_id, n_evidence, n_sources, sources): evidence with a ligand at one end and a receptor at the other.
 
