@@ -183,6 +183,18 @@ def overlay(resolutions: list[DataFrame], key: str = "evidence_id") -> DataFrame
     return best.select(key, *[F.col(f"r.{c}").alias(c) for c in rest])
 
 
+def layered_resolution(base: DataFrame, complexes: DataFrame, reactions: DataFrame) -> DataFrame:
+    """(evidence_id, canonical_id, status, mechanism) of every mention of `base`: its reaction's signature, else its complex's, else its own.
+
+    complexes, reactions: parent_id, signature, resolved (see member_signature). Parents that are no mentions are left out.
+    """
+    out = base.select("evidence_id", *[F.col(c).alias(f"base_{c}") for c in ("canonical_id", "status", "mechanism")])
+    for signed, name in ((reactions, "reaction"), (complexes, "complex")):
+        own = signed.select(F.col("parent_id").alias("evidence_id"), F.struct(F.col("signature").alias("canonical_id"), F.when(F.col("resolved"), 1).otherwise(2).alias("status"), F.lit(name).alias("mechanism")).alias(name))
+        out = out.join(own, "evidence_id", "left")
+    return out.select("evidence_id", *[F.coalesce(f"reaction.{c}", f"complex.{c}", f"base_{c}").alias(c) for c in ("canonical_id", "status", "mechanism")])
+
+
 def first_method(steps: list[DataFrame], key: str) -> DataFrame:
     """(key, how, target): of the answers of several methods that of the earliest, then the smallest."""
     out = steps[0]

@@ -61,6 +61,20 @@ def n24(spark, d):
     return resolve.overlay([over, base])
 
 
+# The members of complexes (n22) and reactions (n23), each parent with its signature.
+_MEMBER = """'{"entity_type":"' || entity_type_id::VARCHAR || '","taxonomy_id":' || coalesce('"' || taxonomy_id::VARCHAR || '"', 'null') || ',"canonical_id":"' || canonical_id || '"}'"""
+_SIGNED = f"SELECT parent_id, sha256('[' || string_agg({_MEMBER}, ',' ORDER BY entity_type_id::VARCHAR, taxonomy_id IS NULL, taxonomy_id::VARCHAR, canonical_id) || ']') signature, bool_and(s = 1) resolved FROM"
+
+
+@query("n24_layered_resolution", f"""WITH {ref.RESOLUTION}, {SIG}, cm AS (SELECT DISTINCT parent_id, entity_type_id, taxonomy_id, canonical_id, s FROM m WHERE side = 'reactant'), cs AS ({_SIGNED} cm GROUP BY 1),
+ rm AS (SELECT DISTINCT parent_id, entity_type_id, taxonomy_id, canonical_id, s FROM m SEMI JOIN (SELECT parent_id FROM m GROUP BY 1 HAVING bool_or(side = 'reactant') AND bool_or(side = 'product')) USING (parent_id)), rs AS ({_SIGNED} rm GROUP BY 1)
+ SELECT r.evidence_id, coalesce(rs.signature, cs.signature, r.canonical_id) canonical_id, CASE WHEN coalesce(rs.resolved, cs.resolved, status = 1) THEN 1 ELSE 2 END status, CASE WHEN rs.signature IS NOT NULL THEN 'reaction' WHEN cs.signature IS NOT NULL THEN 'complex' ELSE mechanism END mechanism
+ FROM resolution r LEFT JOIN rs ON rs.parent_id = r.evidence_id LEFT JOIN cs ON cs.parent_id = r.evidence_id""")
+def n24_layered(spark, d):
+    """Reaction over complex over base. Genes are mentioned under their entity's id, which the signatures have as parent_id."""
+    return resolve.layered_resolution(ref.n21(spark, d), ref.n22(spark, d), n23(spark, d))
+
+
 @query("n25_ontology_terms_resolved", "WITH t AS (SELECT DISTINCT trim(canonical_identifier) id FROM entity WHERE canonical_identifier LIKE 'CHEBI:%'), l AS (SELECT trim(key_value) k, min(trim(canonical_identifier)) c, count(DISTINCT trim(canonical_identifier)) n FROM chemical_identifier_lookup WHERE trim(canonical_identifier) <> '' GROUP BY 1) SELECT id term_id, CASE WHEN n = 1 THEN c ELSE id END canonical_id, coalesce(n, 0) = 1 by_lookup FROM t LEFT JOIN l ON k = id")
 def n25(spark, d):
     t = table(spark, d, "entity").where(F.col("canonical_identifier").like("CHEBI:%")).select(F.trim("canonical_identifier").alias("term_id")).distinct()
