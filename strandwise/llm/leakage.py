@@ -164,6 +164,39 @@ def longest_leak(path: np.ndarray, edits: float) -> tuple[int, int]:
     return best
 
 
+def local_leak(a: np.ndarray, b: np.ndarray, least: int, edits: float) -> tuple[int, int]:
+    """(words, edits) of a stretch of `a` of at least `least` words that stands in `b` with at most `edits` per word, by edit distance; (0, 0) if there is none.
+
+    A stretch begins and ends with equal words. One of 2 * least / (1 - edits) words or more falls into two of at least `least`, of which one has no
+    more edits per word; so stretches up to that length settle whether there is any, and no more edits than that length allows are followed.
+    """
+    longest = int(np.ceil(2 * least / (1 - edits)))
+    most = int(edits * longest)
+    off, none, best = np.arange(-most, most + 1), 4 * longest, (0, 0)
+    begins = np.argwhere((a[:, None] == b[None, :]) & (a[:, None] >= 0))
+    for at in range(0, len(begins), 32768):
+        i, j = begins[at : at + 32768].T
+        # least edits between a[i : i + k + 1] and b[j : j + k + 1 + off]
+        cost = np.repeat(np.where(off >= 0, off, none)[None, :], len(i), axis=0)
+        for k in range(1, longest):
+            live = (i + k < len(a)) & (cost.min(1) <= most)
+            i, j, cost = i[live], j[live], cost[live]
+            if not len(i):
+                break
+            to = j[:, None] + k + off
+            there = (to >= j[:, None]) & (to < len(b))
+            word = a[i + k][:, None]
+            same = there & (word >= 0) & (b[np.clip(to, 0, len(b) - 1)] == word)
+            if k + 1 >= least:
+                low = int(np.where(same, cost, none).min())
+                if low <= edits * (k + 1):
+                    best = max(best, (k + 1, -low))
+            dropped = np.concatenate([cost[:, 1:], np.full((len(i), 1), none)], axis=1) + 1
+            cost = np.where(there, np.minimum(cost + ~same, dropped), none)
+            cost = np.where(there, np.minimum.accumulate(cost - off, axis=1) + off, none)
+    return (best[0], -best[1])
+
+
 def _has(texts: list[str], answer: list[str]) -> bool:
     return bool(answer) and f" {' '.join(answer)} " in f" {' '.join(texts)} "
 
@@ -248,7 +281,8 @@ def leaked_items(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item
 
     1. Texts become numbers of the items' words, written once. 2. Document frequencies of the items' words and word pairs
     over all documents. 3. Latent space (see latent_space) over all passages. 4. Every passage with enough known weight
-    is compared with every item passage by cosine there. 5. Candidates are settled by the longest common subsequence.
+    is compared with every item passage by cosine there. 5. Candidates are settled by the longest common subsequence, and where that
+    finds no passage, by a local alignment.
     """
     spark = docs.sparkSession
     rows = items.select(item_id, item_text, answer).where(F.col(item_id).isNotNull()).distinct().orderBy(item_id).toLocalIterator()
@@ -337,6 +371,9 @@ def _search(docs: DataFrame, items: Items, p: Params, scratch: Scratch) -> DataF
                 for s in range(lo, hi, 4096):  # a text with leaks far apart is compared piece by piece
                     path = common_path(body, t[s : min(hi, s + 4096 + 2 * len(body))])
                     best, common = max(best, longest_leak(path, p.edits)), max(common, len(path))
+                    # one path through the whole item may tear a leak apart; no leak has fewer words in common
+                    if best[0] < p.least_words and len(path) >= p.least_words * (1 - p.edits):
+                        best = max(best, local_leak(body, t[s : min(hi, s + 4096 + 2 * len(body))], p.least_words, p.edits))
                 out.append((doc, known.ids[item], *best, common / len(body), item))
             res = []
             for doc, iid, span, bad, share, item in out:
