@@ -87,7 +87,7 @@ def segment(text: str, expected: tuple | None = None) -> Unit | None:
     reading whose dimension is not that of the field costs far more, which settles cases such as m, M, d, or min.
     """
     text = re.sub(r"\s+", " ", text.translate(SUPERSCRIPTS)).strip()
-    if not text or len(text) > 64:
+    if not text:
         return None
     # place -> {(dims, sign of the next term, term expected): (cost, factor, offset, terms)}
     states: list[dict] = [{} for _ in range(len(text) + 1)]
