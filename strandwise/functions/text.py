@@ -10,12 +10,12 @@ NO_VALUE = ["", "-", "--", "?", ".", "n/a", "n.a.", "na", "none", "null", "nil",
 # Those that stand in identifier and text columns; a measured value may also be "inactive" or "ND".
 NO_TEXT = ["", "-", "--", "?", ".", "n/a", "n.a.", "na", "none", "null", "nil", "nan", "unknown", "not available"]
 
-BLANK = r"[\s\u00a0]"
+BLANKS = " \t\n\x0b\f\r\u00a0"
 
 
 def outer_trim(c: Column) -> Column:
     """Without outer white space of any kind, no-break spaces included; null stays null."""
-    return F.regexp_replace(c, rf"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def no_text(c: Column) -> Column:
@@ -25,13 +25,13 @@ def no_text(c: Column) -> Column:
 
 def plain_id(c: Column) -> Column:
     """An identifier without letter case, outer blanks and braces; null where nothing is left."""
-    bare = F.lower(F.regexp_replace(c, r"^[\s\u00a0{}]+|[\s\u00a0{}]+$", ""))
+    bare = F.lower(F.btrim(c, F.lit(BLANKS + "{}")))
     return F.when(bare != "", bare)
 
 
 def squeeze(c: Column) -> Column:
     """Lower case without any blank; compares names, mechanisms and the like."""
-    return F.regexp_replace(F.lower(c), rf"{BLANK}+", "")
+    return F.translate(F.lower(c), BLANKS, "")
 
 
 def accession_of(term: Column) -> Column:

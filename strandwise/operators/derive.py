@@ -111,13 +111,13 @@ def attested_label(rows: DataFrame, key: str, label: str) -> DataFrame:
 
 
 def label_cascade(rows: DataFrame, key: str, kind: str, value: str, tiers: dict[int, int]) -> DataFrame:
-    """(key, label, tier): readable names. Values split at |, lose a trailing remark in brackets, and count apart from case.
+    """(key, label, tier): readable names. Values split at |, lose a trailing (PTF and digits), and count apart from case.
 
     The best tier wins, then attestation, length and bytewise order; the display form is the most frequent spelling. Identifiers,
     numbers and texts shorter than 2 or longer than 120 signs are no names.
     """
     parts = rows.where(F.col(kind).isin(list(tiers))).select(key, kind, F.explode(F.split(value, r"\|")).alias("name"))
-    names = parts.select(key, kind, F.trim(F.regexp_replace("name", r"\s*\([A-Z]{2,}[^()]*\)\s*$", "")).alias("name"))
+    names = parts.select(key, kind, F.trim(F.regexp_replace("name", r"\s*\(PTF[0-9]+\)\s*$", "")).alias("name"))
     names = names.where(F.length("name").between(2, 120) & ~F.col("name").rlike(r"^\d+$") & ~F.col("name").rlike(r"^[A-Z]{14}-[A-Z]{10}-[A-Z]$"))
     tier = F.create_map(*[F.lit(x) for t, n in tiers.items() for x in (t, n)])
     names = names.withColumn("tier", tier[F.col(kind).cast("int")]).withColumn("low", F.lower("name"))

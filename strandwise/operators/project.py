@@ -17,6 +17,8 @@ STEPS = {"reaction", "transport"}
 CONTROL_ROLES = {"catalyst", "enzyme", "controller", "transporter"}
 SOURCE_ROLES, TARGET_ROLES = {"source", "regulator", "ligand", "effector"}, {"target", "substrate", "receptor"}
 POSITIVE, NEGATIVE = ("activ", "positive", "stimul"), ("inhib", "negative", "repress")
+#: Control roles that also state the effect; transporters do not.
+CATALYTIC_ROLES = {"catalyst", "enzyme", "controller"}
 ALIASES = {"small molecule": "chemical", "drug": "chemical", "lipid": "chemical", "compound": "chemical"}
 
 SCHEMA = (
@@ -137,7 +139,7 @@ def flatten(record: dict, source: str, dataset: str, row_id: int) -> list[dict]:
             predicate, upward = membership_predicate(kind or "", role)
             rid = relate(f"{path}:membership:{i}", child if upward else me, predicate, me if upward else child, "membership")
             notes("relation_annotation", rid, m.get("annotations"), "object")
-            if upward:
+            if upward and role & CATALYTIC_ROLES:
                 notes("relation_annotation", rid, [{"term": "Control Effect", "value": "catalysis"}], "relation")
         for a in node.get("associations") or []:
             key = (me, a.get("predicate"), a.get("object_type"), a.get("object_id"))

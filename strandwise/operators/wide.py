@@ -13,11 +13,17 @@ from strandwise.operators.skew import join_unique
 MAX_ATTRIBUTES = 5000
 
 
-def attribute_list(types: DataFrame) -> list[tuple[str, str, str]]:
-    """(accession, name, kind) of every attribute, in order of accession; the fixed columns of the wide table."""
-    rows = types.select("accession", "attribute_name", "value_kind").where("accession is not null").distinct().orderBy("accession", "attribute_name").limit(MAX_ATTRIBUTES + 1).collect()
+def bounded(attributes: DataFrame) -> list:
+    """The rows of an attribute list; one that is longer than MAX_ATTRIBUTES is refused, never cut."""
+    rows = attributes.limit(MAX_ATTRIBUTES + 1).collect()
     if len(rows) > MAX_ATTRIBUTES:
         raise ValueError(f"more than {MAX_ATTRIBUTES} attributes")
+    return rows
+
+
+def attribute_list(types: DataFrame) -> list[tuple[str, str, str]]:
+    """(accession, name, kind) of every attribute, in order of accession; the fixed columns of the wide table."""
+    rows = bounded(types.select("accession", "attribute_name", "value_kind").where("accession is not null").distinct().orderBy("accession", "attribute_name"))
     first: dict[str, tuple[str, str, str]] = {}
     for r in rows:
         first.setdefault(r[0].upper(), (r[0].upper(), r[1] or r[0], r[2] or "text"))

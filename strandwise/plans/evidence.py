@@ -77,7 +77,8 @@ BARE = {"temperature celsius": "unit", "pchembl value": "-log"}
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    types = table(spark, sf_dir, "annotation_term_type").where("value_kind = 'quantity' and common_unit is not null").orderBy("accession").limit(wide.MAX_ATTRIBUTES).collect()
+    listed = table(spark, sf_dir, "annotation_term_type").where("accession is not null and value_kind = 'quantity' and common_unit is not null").select("accession", "attribute_name", "common_unit").distinct()
+    types = wide.bounded(listed.orderBy("accession", "attribute_name", "common_unit"))
     fields = {r["accession"].upper(): units.Field(r["common_unit"], BARE.get((r["attribute_name"] or "").lower(), "")) for r in types}
     return units.convert_units(with_attribute(spark, sf_dir), ["annotation_key"], "accession", "term", "value", "unit", fields).distinct()
 
@@ -92,7 +93,7 @@ PROSE = ["OM:0613", "MI:0612", "OM:0206"]
 def packed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields of identifier_evidence and of text annotations with the kind of value they hold."""
     ids = table(spark, sf_dir, "identifier_evidence").select(F.lit("identifier_evidence").alias("table_name"), F.col("identifier_id").alias("record_id"), F.concat(F.lit("i"), F.col("identifier_type_id").cast("string")).alias("kind"), "value")
-    text = [r[0].upper() for r in table(spark, sf_dir, "annotation_term_type").where("value_kind = 'text'").select("accession").distinct().limit(wide.MAX_ATTRIBUTES).collect()]
+    text = [r[0].upper() for r in wide.bounded(table(spark, sf_dir, "annotation_term_type").where("accession is not null and value_kind = 'text'").select("accession").distinct())]
     notes = with_attribute(spark, sf_dir).where(F.col("accession").isin([a for a in text if a not in PROSE]))
     return ids.unionByName(notes.select(F.lit("annotation").alias("table_name"), F.col("annotation_key").alias("record_id"), F.col("accession").alias("kind"), "value"))
 

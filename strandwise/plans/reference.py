@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 
 
 # Identifier types of the tables.
-GENE_NAME, ENTREZ, CHEBI, HMDB, PUBCHEM, INCHIKEY, NAME, CHEMBL, SYNONYM = 5, 3, 8, 9, 12, 13, 16, 17, 28
+UNIPROT, GENE_NAME, ENTREZ, CHEBI, HMDB, PUBCHEM, INCHIKEY, NAME, CHEMBL, SYNONYM = 1, 5, 3, 8, 9, 12, 13, 16, 17, 28
 # Tiers and mechanisms of fallback identities by identifier type.
 FALLBACK = {8: (2, "chebi"), 17: (3, "chembl"), 12: (4, "pubchem"), 11: (6, "swisslipids"), 9: (7, "hmdb"), 10: (8, "lipidmaps"), 23: (20, "original_id"), 22: (24, "original_id"), 24: (25, "original_id"), 27: (29, "original_id"), 16: (40, "name"), 28: (41, "name")}
 # Tiers and readable prefixes of identifier labels by identifier type.
@@ -268,7 +268,7 @@ def n67(spark, d):
     return derive.identifier_label(rows, "node", "kt", "kv", LABEL_IDS)
 
 
-@query("n66_chemical_labels", r"""WITH p AS (SELECT identifier_id, identifier_type_id t, unnest(string_split(value, '|')) s FROM identifier_evidence WHERE identifier_type_id IN (16, 28)), n AS (SELECT identifier_id, t, trim(regexp_replace(s, '\s*\([A-Z]{2,}[^()]*\)\s*$', '')) s FROM p),
+@query("n66_chemical_labels", r"""WITH p AS (SELECT identifier_id, identifier_type_id t, unnest(string_split(value, '|')) s FROM identifier_evidence WHERE identifier_type_id IN (16, 28)), n AS (SELECT identifier_id, t, trim(regexp_replace(s, '\s*\(PTF[0-9]+\)\s*$', '')) s FROM p),
  f AS (SELECT * FROM n WHERE length(s) BETWEEN 2 AND 120 AND NOT regexp_matches(s, '^\d+$') AND NOT regexp_matches(s, '^[A-Z]{14}-[A-Z]{10}-[A-Z]$')),
  sp AS (SELECT identifier_id, lower(s) low, s, count(*) c, min(CASE t WHEN 16 THEN 1 ELSE 5 END) tier FROM f GROUP BY 1, 2, 3), fo AS (SELECT identifier_id, low, sum(c) total, min(tier) tier, arg_min(s, (-c, s)) AS label FROM sp GROUP BY 1, 2)
  SELECT identifier_id, label, tier FROM (SELECT *, row_number() OVER (PARTITION BY identifier_id ORDER BY tier, total DESC, length(label), label) r FROM fo) WHERE r = 1""")
@@ -457,9 +457,9 @@ def n22(spark, d):
     return resolve.member_signature(r.join(e, "canonical_id"))
 
 
-@query("n32_states", rf"WITH x AS (SELECT DISTINCT regexp_replace(value, '-\d+$', '') accession, nullif(regexp_extract(value, '-(\d+)$', 1), '') isoform FROM identifier_evidence WHERE identifier_type_id = 24 AND value <> '') SELECT {UUID.format('md5(' + chr(39) + 'state' + chr(39) + ' || chr(31) || ' + chr(39) + '2' + chr(39) + ' || chr(31) || accession || chr(31) || coalesce(isoform, ' + chr(39) * 2 + '))')} state_id, accession, isoform FROM x")
+@query("n32_states", rf"WITH x AS (SELECT DISTINCT regexp_replace(value, '-\d+$', '') accession, nullif(regexp_extract(value, '-(\d+)$', 1), '') isoform FROM identifier_evidence WHERE identifier_type_id = 1 AND value <> '') SELECT {UUID.format('md5(' + chr(39) + 'state' + chr(39) + ' || chr(31) || ' + chr(39) + '2' + chr(39) + ' || chr(31) || accession || chr(31) || coalesce(isoform, ' + chr(39) * 2 + '))')} state_id, accession, isoform FROM x")
 def n32(spark, d):
-    return resolve.molecular_states(table(spark, d, "identifier_evidence").select(F.col("identifier_type_id").alias("key_type"), F.col("value").alias("key_value")), 24)
+    return resolve.molecular_states(table(spark, d, "identifier_evidence").select(F.col("identifier_type_id").alias("key_type"), F.col("value").alias("key_value")), UNIPROT)
 
 
 @query("n27_new_entities", "SELECT DISTINCT entity_type_id, taxonomy_id, canonical_identifier FROM entity WHERE created_at >= TIMESTAMPTZ '2024-01-01 00:00:00+00' EXCEPT SELECT entity_type_id, taxonomy_id, canonical_identifier FROM entity WHERE created_at < TIMESTAMPTZ '2024-01-01 00:00:00+00'")

@@ -140,6 +140,6 @@ def p14(spark, d):
     return table(spark, d, "annotation").where(F.col("value").rlike(r"^[0-9]+([.][0-9]+)?$")).select("annotation_key", F.expr("try_cast(value as double)").alias("v")).where("v >= 6")
 
 
-@query("p15_numeric_scrub", "SELECT annotation_key, round(TRY_CAST(nullif(regexp_replace(value, '[^0-9.]', '', 'g'), '') AS DOUBLE), 6) v FROM annotation WHERE unit = 'nM'")
+@query("p15_numeric_scrub", "SELECT annotation_key, TRY_CAST(nullif(regexp_replace(value, '[^0-9.eE+-]', '', 'g'), '') AS DOUBLE) v FROM annotation")
 def p15(spark, d):
-    return table(spark, d, "annotation").where("unit = 'nM'").select("annotation_key", F.round(F.expr("try_cast(nullif(regexp_replace(value, '[^0-9.]', ''), '') as double)"), 6).alias("v"))
+    return table(spark, d, "annotation").select("annotation_key", F.expr("try_cast(nullif(regexp_replace(value, '[^0-9.eE+-]', ''), '') as double)").alias("v"))

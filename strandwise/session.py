@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import re
 import shutil
 import tempfile
 import uuid
@@ -32,11 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where the setting is absent."""
+    """The shared folder of spark.checkpoint.dir; a temporary one only where the setting is absent and everything runs in one process.
+
+    Off a local master an absent setting is an error: each executor would write to a disk of its own.
+    """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if configured:
         return configured
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="strandwise-checkpoint-")
     atexit.register(shutil.rmtree, own, ignore_errors=True)
     sc.setCheckpointDir(own)
@@ -79,14 +83,11 @@ class Scratch:
             pass
 
 
-def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
-    """`df` in at least `per_core` partitions per core, for work that Python does row by row.
+def spread(scan: DataFrame) -> DataFrame:
+    """A table as read, in at least one partition per core, for work that Python does row by row.
 
-    Inputs of few files or splits would leave cores idle; those are small, so moving their rows once is cheap. Larger
-    inputs have enough splits and stay where they are, and so does what comes out of a shuffle: to ask for its
-    partitions would run it.
+    A file of one row group can't be split, and such a scan would keep one core busy; then its rows are dealt out. Only the
+    number of tasks depends on it, never a result. Scans with enough splits stay where they are.
     """
-    want = per_core * df.sparkSession.sparkContext.defaultParallelism
-    if re.search(r"Aggregate|SortMergeJoin|ShuffledHashJoin|CartesianProduct|Window|Repartition|Exchange|MapInPandas", df._jdf.queryExecution().sparkPlan().toString()):
-        return df
-    return df.repartition(want) if df._jdf.rdd().getNumPartitions() < want else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(3 * cores) if scan._jdf.rdd().getNumPartitions() < cores else scan
