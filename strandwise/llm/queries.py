@@ -39,14 +39,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every pair of sources with its estimated overlap and interval, as resource_overlap_summary should hold it."""
-    out = overlap.overlap_estimates(members(spark, sf_dir))
+    """The overlap of every pair of sources that share anything, as resource_overlap_summary should hold it; estimates with their interval."""
+    out = overlap.overlap_report(members(spark, sf_dir), 0.25)
     return out.select(F.col("a").alias("source_a_id"), F.col("b").alias("source_b_id"), F.col("kind").alias("content_kind"), F.round("estimate").cast("bigint").alias("overlap"), F.col("low").alias("overlap_low"), F.col("high").alias("overlap_high"))
 
 
 def evidence_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct resolution rows with the usable fields of the entity they point to and their trust."""
-    rows = table(spark, sf_dir, "entity_evidence_resolution").distinct().select("source_id", "entity_evidence_id", plain_id(F.col("entity_id")).alias("eid"), squeeze(F.regexp_replace("resolution_mechanism", "[-_]", "")).alias("mechanism"), "resolved_at")
+    """Resolution rows as delivered with the usable fields of the entity they point to and their trust."""
+    rows = table(spark, sf_dir, "entity_evidence_resolution").select("source_id", "entity_evidence_id", plain_id(F.col("entity_id")).alias("eid"), squeeze(F.regexp_replace("resolution_mechanism", "[-_]", "")).alias("mechanism"), "resolved_at")
     ranks = table(spark, sf_dir, "vocab_resolution_mechanism").select(squeeze(F.regexp_replace("resolution_mechanism", "[-_]", "")).alias("mechanism"), "trust_rank")
     ent = table(spark, sf_dir, "entity").select(plain_id(F.col("entity_id")).alias("eid"), F.col("canonical_identifier_type_id").alias("t"), F.when(~no_text(F.col("canonical_identifier")), outer_trim(F.col("canonical_identifier"))).alias("c"))
     ent = ent.where(F.col("eid").isNotNull()).groupBy("eid").agg(F.min("t").alias("canonical_identifier_type_id"), F.min("c").alias("canonical_identifier"))
@@ -70,7 +70,7 @@ ORACLES: dict[str, str] = {
   UNION ALL SELECT node, root, step + 1 FROM (SELECT s.a node, least(any_value(me.root), min(x.root)) root, any_value(x.step) step, any_value(me.root) was FROM s JOIN r x ON x.node = s.b JOIN r me ON me.node = s.a GROUP BY s.a) WHERE step < 400)
  SELECT node node_key, min(root) group_key FROM r GROUP BY 1""",
     "p4_found": f"WITH {_MEMBERS} SELECT a.s source_a_id, b.s source_b_id, a.k content_kind FROM m a JOIN m b ON a.k = b.k AND a.i = b.i AND a.s < b.s JOIN z x ON x.k = a.k AND x.s = a.s JOIN z y ON y.k = b.k AND y.s = b.s GROUP BY a.s, b.s, a.k, x.n, y.n HAVING count(*) >= 0.25 * least(x.n, y.n)",
-    "p6_found": """WITH r AS (SELECT DISTINCT * FROM entity_evidence_resolution), e AS (SELECT lower(trim(entity_id, ' {}')) eid, min(canonical_identifier_type_id) t, min(CASE WHEN lower(trim(canonical_identifier)) NOT IN ('', '-', '--', '?', '.', 'n/a', 'n.a.', 'na', 'none', 'null', 'nil', 'nan', 'unknown', 'not available') THEN trim(canonical_identifier) END) c FROM entity GROUP BY 1),
+    "p6_found": """WITH r AS (SELECT * FROM entity_evidence_resolution), e AS (SELECT lower(trim(entity_id, ' {}')) eid, min(canonical_identifier_type_id) t, min(CASE WHEN lower(trim(canonical_identifier)) NOT IN ('', '-', '--', '?', '.', 'n/a', 'n.a.', 'na', 'none', 'null', 'nil', 'nan', 'unknown', 'not available') THEN trim(canonical_identifier) END) c FROM entity GROUP BY 1),
  x AS (SELECT r.source_id, r.entity_evidence_id, t, c, coalesce(trust_rank, 99) k, resolved_at, count(*) OVER (PARTITION BY r.source_id, r.entity_evidence_id) n FROM r LEFT JOIN e ON e.eid = lower(trim(r.entity_id, ' {}')) LEFT JOIN vocab_resolution_mechanism v ON regexp_replace(lower(r.resolution_mechanism), '[-_ ]', '', 'g') = regexp_replace(lower(v.resolution_mechanism), '[-_ ]', '', 'g'))
  SELECT source_id, entity_evidence_id, arg_min(t, (k, -epoch_us(resolved_at), t)) FILTER (t IS NOT NULL) canonical_identifier_type_id, arg_min(c, (k, -epoch_us(resolved_at), c)) FILTER (c IS NOT NULL) canonical_identifier FROM x WHERE n > 1 GROUP BY 1, 2 HAVING count(t) > 0 AND count(c) > 0""",
 }

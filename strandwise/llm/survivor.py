@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _skyline(points: Column, fields: list[str], inverse: bool = False) -> Column:
-    """Points that no other point dominates (or, inverse, those that some point does).
+def _front(points: Column, fields: list[str]) -> Column:
+    """Points that no other point dominates.
 
     y dominates x when it has every field x has, is trusted no less and is no older, and beats x in one of these.
     """
@@ -23,7 +23,7 @@ def _skyline(points: Column, fields: list[str], inverse: bool = False) -> Column
 
         return F.exists(points, by)
 
-    return F.filter(points, beaten if inverse else lambda x: ~beaten(x))
+    return F.filter(points, lambda x: ~beaten(x))
 
 
 def best_representative(rows: DataFrame, group: list[str], fields: list[str], rank: str, at: str) -> DataFrame:
@@ -36,9 +36,12 @@ def best_representative(rows: DataFrame, group: list[str], fields: list[str], ra
     ones the smallest values) stands for the rest; that is decided by partial aggregation before the shuffle and leaves at most
     (ranks x 2^fields) points per group, however many rows it has. On those points the Pareto front is taken;
     its lexicographic first (rank, then recency, then values) is the survivor, whose empty fields are filled
-    from the rest of the front and then from the layer below. A row with field f is dominated only by rows
-    that also have f and are no later in the policy, hence each field holds the value that the policy would
-    choose for it alone. Groups without any usable value keep nulls. Repeats change n_rows only.
+    from the following points of the front.
+
+    Deeper layers need not be computed: a point with field f is dominated only by points that also have f and come no
+    later in the policy. So if any point has f, a point of the front has it, and the value that the policy would choose for
+    f alone is in the front. Groups without any usable value keep nulls. Every row delivered counts in n_rows, repeats too;
+    they change nothing else. An empty table gives an empty result; other columns are ignored, whatever they are called.
     """
     worst, never = 2**31 - 1, "0001-01-01 00:00:00"
     vals = [F.col(f).alias(f"v_{f}") for f in fields]
@@ -50,13 +53,13 @@ def best_representative(rows: DataFrame, group: list[str], fields: list[str], ra
     )
     keys = [f"g_{i}" for i in range(len(group))]
     v = F.struct(*[f"v_{f}" for f in fields])
-    cells = base.groupBy(*keys, "rank", *[f"has_{f}" for f in fields]).agg(F.min(F.struct((-F.unix_micros("at")).alias("age"), v.alias("v"))).alias("best"), F.max("at").alias("at"), F.count(F.lit(1)).alias("n"))
-    point = F.struct("rank", "best.age", *[F.col(f"best.v.v_{f}").alias(f"v_{f}") for f in fields], "at")
+    age = -F.unix_micros("at")
+    cells = base.groupBy(*keys, "rank", *[f"has_{f}" for f in fields]).agg(F.min_by(v, F.struct(age.alias("age"), v.alias("v"))).alias("best"), F.max("at").alias("at"), F.count(F.lit(1)).alias("n"))
+    point = F.struct("rank", (-F.unix_micros("at")).alias("age"), *[F.col(f"best.v_{f}").alias(f"v_{f}") for f in fields], "at")
     groups = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(point)).alias("points"), F.sum("n").alias("n_rows"))
-    layered = groups.withColumn("first", _skyline(F.col("points"), fields)).withColumn("rest", _skyline(F.col("points"), fields, inverse=True)).withColumn("second", _skyline(F.col("rest"), fields))
-    in_order = F.concat("first", "second")
+    layered = groups.withColumn("front", _front(F.col("points"), fields))
 
     def pick(f: str) -> Column:
-        return F.get(F.filter(in_order, lambda x: x[f"v_{f}"].isNotNull()), F.lit(0))[f"v_{f}"].alias(f)
+        return F.get(F.filter("front", lambda x: x[f"v_{f}"].isNotNull()), F.lit(0))[f"v_{f}"].alias(f)
 
     return layered.select(*[F.col(k).alias(g) for k, g in zip(keys, group)], *[pick(f) for f in fields], "n_rows")

@@ -29,7 +29,7 @@ def brute(rows):
     return out
 
 
-def test_fields_come_from_different_layers(spark):
+def test_fields_come_from_different_records(spark):
     rows = [("a", "old", None, 1, "2020-01-01", 0, 0), ("a", None, "low", 9, "2024-01-01", 0, 0), ("a", "new", "mid", 5, "2023-01-01", 0, 0), ("b", None, None, 1, "2020-01-01", 0, 0), (None, "n", "n", None, None, 0, 0), ("c", "x" * 100_000, "y", 1, "2020-01-01", 0, 0)]
     got = best(spark, rows)
     assert got["a"] == ("old", "mid", 3) and got["b"] == (None, None, 1) and got[None] == ("n", "n", 1) and len(got["c"][0]) == 100_000
@@ -53,3 +53,14 @@ def test_random_groups_equal_brute_force_with_one_huge_group(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA).withColumn("at", F.to_timestamp("at"))
     assert best_representative(df, ["g"], ["x", "y"], "rank", "at").count() == 0
+
+
+def test_a_record_delivered_twice_has_two_rows(spark, tmp_path):
+    """TESTDATA asks for two or more rows; a row that is delivered again is one of them."""
+    from strandwise.llm.queries import p6_found
+
+    at = "timestamp'2024-01-01'"
+    spark.sql(f"select * from values (1L, 'v1', 'e1', 'chebi', {at}), (1L, 'v1', 'e1', 'chebi', {at}), (1L, 'v2', 'e1', 'chebi', {at}) t(source_id, entity_evidence_id, entity_id, resolution_mechanism, resolved_at)").write.parquet(f"{tmp_path}/entity_evidence_resolution.parquet")
+    spark.sql("select 'e1' entity_id, 8L canonical_identifier_type_id, ' CHEBI:1 ' canonical_identifier").write.parquet(f"{tmp_path}/entity.parquet")
+    spark.sql("select 'chebi' resolution_mechanism, 3 trust_rank").write.parquet(f"{tmp_path}/vocab_resolution_mechanism.parquet")
+    assert [tuple(r) for r in p6_found(spark, str(tmp_path)).collect()] == [(1, "v1", 8, "CHEBI:1")]
