@@ -7,7 +7,7 @@ import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,18 +22,19 @@ LANGUAGES = {
     "en": ["en", "eng", "english"], "de": ["de", "deu", "ger", "german"], "fr": ["fr", "fra", "fre", "french"], "es": ["es", "spa", "spanish"],
     "it": ["it", "ita", "italian"], "pt": ["pt", "por", "portuguese"], "nl": ["nl", "nld", "dut", "dutch"],
 }
-CODES = list(LANGUAGES)
 #: A segment that the model rejects.
 NONE = "und"
 #: Words of texts that are segmented together; a longer text is segmented alone.
-CELLS = 60_000
+CELLS = 400_000
+#: Words that a worker remembers; then it starts anew.
+MEMO = 500_000
 
 
-def named_language(label: Column) -> Column:
-    """The two-letter code that a label names by code or English name, in any case, with or without a region; else null."""
+def named_language(label: Column, languages: dict[str, list[str]] = LANGUAGES) -> Column:
+    """The code that a label names by one of its language's names, in any case, with or without a region; else null."""
     base = F.lower(F.regexp_extract(label, r"^\s*([A-Za-z]+)\s*(?:[-_][A-Za-z0-9]+)*\s*$", 1))
     out = F.lit(None).cast("string")
-    for code, names in LANGUAGES.items():
+    for code, names in languages.items():
         out = F.when(base.isin(names), F.lit(code)).otherwise(out)
     return out
 
@@ -45,7 +46,7 @@ class Params:
     per_language: int = 800  # documents of each label that train and calibrate; the bound of the sample
     common: int = 6  # sentences of the sample that a word must stand in to teach; names would be learned by heart
     alike: int = 12  # sentences of a label that begin with the same two words; more teach nothing new
-    dropout: float = 0.4  # share of words left out of a sentence at each step, so that no single word carries it
+    dropout: float = 0.4  # share of words left out of a sentence in each epoch, so that no single word carries it
     rounds: int = 2  # of training; after the first, sentences that the model contradicts are dropped
     epochs: int = 8
     rate: float = 1.0
@@ -54,7 +55,8 @@ class Params:
     turn: float = 4.0  # cost of one between sentences or lines
     grip: float = 0.25  # weight of a word's score against those costs
     clip: float = 12.0  # most that one word can score for or against a language
-    accepted: float = 0.995  # share of held-out sentences that calibration keeps
+    accepted: float = 0.995  # share of held-out sentences whose best score calibration takes as the floor
+    margin: float = 0.3  # share of that floor that the state without language scores per word; segments may be worse than whole sentences
     seed: int = 11
 
 
@@ -98,25 +100,23 @@ class Model:
     """Embeddings (buckets x dims), weights (dims x languages), offsets, temperature and the least score per word of a language."""
 
     p: Params
+    codes: list[str]
     emb: np.ndarray
     weight: np.ndarray
     offset: np.ndarray
     temperature: float = 1.0
     least: float = 0.0
-    cache: dict = field(default_factory=dict)
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Scores of each word; a sentence's score is their mean. A word that holds no letters scores nothing."""
-        out = np.zeros((len(words), len(CODES)), np.float32)
-        if len(self.cache) > 500_000:
-            self.cache.clear()
-        for i, w in enumerate(words):
-            if not w:
-                continue
-            got = self.cache.get(w)
-            if got is None:
-                got = self.cache[w] = (self.emb[subwords(w, self.p.buckets)].mean(0) @ self.weight).astype(np.float32)
-            out[i] = got
+        out = np.zeros((len(words), len(self.codes)), np.float32)
+        grams = [subwords(w, self.p.buckets) for w in words]
+        lens = np.array([len(g) for g in grams], dtype=np.int64)
+        full = np.flatnonzero(lens)
+        if len(full):
+            flat = np.array([x for g in grams for x in g])
+            edge = np.cumsum(lens[full]) - lens[full]
+            out[full] = np.add.reduceat(self.emb[flat], edge, axis=0) / lens[full, None] @ self.weight
         return out
 
     def centred(self, raw: np.ndarray, letters: np.ndarray) -> np.ndarray:
@@ -126,6 +126,69 @@ class Model:
         return np.where(letters[:, None], s, 0.0)
 
 
+class Reader:
+    """Texts as numbers of words, with the scores of every number; each word is scored once per worker.
+
+    Number 0 is any word without letters, number 1 stands behind the end of a text.
+    """
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._clear()
+
+    def _clear(self) -> None:
+        self.seen: dict[str, int] = {}  # sign sequence: (number + 1) * 2 + whether a sentence ends with it
+        self.number: dict[str, int] = {"": 0}
+        self.raw = np.zeros((2, len(self.model.codes)), np.float32)
+        self.emit = self._emit(self.raw, np.zeros(2, bool))
+        self.emit[1] = 0.0
+
+    def _emit(self, raw: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """What a word adds to each language and, last, to none."""
+        m = self.model
+        return (m.p.grip * np.c_[m.centred(raw, letters), np.full(len(raw), m.least)]).astype(np.float32)
+
+    def _learn(self, token: str, fresh: list[str]) -> int:
+        m = _LETTERS.search(token)
+        digit = any(ch.isdigit() for ch in token)
+        code = int(bool(_END.search(token)))
+        if m or digit:
+            w = m[0].lower() if m and not digit else ""
+            if w not in self.number:
+                self.number[w] = len(self.number) + 1
+                fresh.append(w)
+            code += 2 * (self.number[w] + 1)
+        self.seen[token] = code
+        return code
+
+    def read(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each text the numbers of its words, and whether a sentence or line begins at each."""
+        if len(self.seen) > MEMO:
+            self._clear()
+        fresh: list[str] = []
+        out = []
+        for text in texts:
+            ids, first, get = [], [], self.seen.get
+            for line in (_MARKUP.sub(" ", text) if "<" in text or "[" in text or "**" in text else text).split("\n"):
+                new = True
+                for t in line.split():
+                    code = get(t)
+                    if code is None:
+                        code = self._learn(t, fresh)
+                    if code > 1:
+                        ids.append(code)
+                        first.append(new)
+                        new = False
+                    if code & 1:
+                        new = True
+            out.append(((np.array(ids, dtype=np.int64) >> 1) - 1, np.array(first, dtype=bool)))
+        if fresh:
+            raw = self.model.word_scores(fresh)
+            self.raw = np.concatenate([self.raw, raw])
+            self.emit = np.concatenate([self.emit, self._emit(raw, np.ones(len(raw), bool))])
+        return out
+
+
 def _bags(sentences: list[list[str]], p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Flat subwords, their weights (each word counts once, spread over its subwords), their word, and the start of each sentence."""
     idx, w, word, start, memo, n = [], [], [], [], {}, 0
@@ -144,15 +207,15 @@ def _bags(sentences: list[list[str]], p: Params) -> tuple[np.ndarray, np.ndarray
     return np.array(idx), np.array(w, np.float32), np.array(word), np.array(start)
 
 
-def _train(sentences: list[list[str]], labels: np.ndarray, p: Params) -> Model:
+def _train(sentences: list[list[str]], labels: np.ndarray, p: Params, codes: list[str]) -> Model:
     """Softmax regression on averaged embeddings by stochastic gradient descent over shuffled batches."""
     rng = np.random.default_rng(p.seed)
     idx, w, word, start = _bags(sentences, p)
     emb = np.zeros((p.buckets, p.dims), np.float32)  # subwords that never taught say nothing
-    weight, offset = np.zeros((p.dims, len(CODES)), np.float32), np.zeros(len(CODES), np.float32)
+    weight, offset = np.zeros((p.dims, len(codes)), np.float32), np.zeros(len(codes), np.float32)
     weight += rng.standard_normal(weight.shape).astype(np.float32) * 0.3
-    share = np.bincount(labels, minlength=len(CODES)).astype(np.float32)
-    balance = (share.sum() / np.maximum(share, 1) / len(CODES)).clip(0, 5)[labels]
+    share = np.bincount(labels, minlength=len(codes)).astype(np.float32)
+    balance = (share.sum() / np.maximum(share, 1) / len(codes)).clip(0, 5)[labels]
     steps, total = 0, max(1, p.epochs * (len(labels) // p.batch + 1))
     for _ in range(p.epochs):
         order = rng.permutation(len(labels))
@@ -185,7 +248,7 @@ def _train(sentences: list[list[str]], labels: np.ndarray, p: Params) -> Model:
             o = np.argsort(f, kind="stable")
             e2 = np.flatnonzero(np.r_[True, f[o][1:] != f[o][:-1]])
             emb[f[o][e2]] -= rate * 200 * np.add.reduceat(back[row[o]] * g[o][:, None], e2, axis=0)
-    return Model(p, emb, weight, offset)
+    return Model(p, codes, emb, weight, offset)
 
 
 def _sentences(text: str) -> list[list[str]]:
@@ -195,45 +258,52 @@ def _sentences(text: str) -> list[list[str]]:
 
 
 def _scores(m: Model, sentences: list[list[str]]) -> np.ndarray:
-    return np.array([m.word_scores([x for x in s if x]).mean(0) + m.offset for s in sentences]).reshape(-1, len(CODES))
+    """Mean word scores of sentences, each of which has words."""
+    words = [x for s in sentences for x in s if x]
+    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    if not words:
+        return np.zeros((0, len(m.codes)))
+    lens = np.array([sum(bool(x) for x in s) for s in sentences])
+    rows = m.word_scores(list(number))[[number[w] for w in words]]
+    return np.add.reduceat(rows, np.cumsum(lens) - lens, axis=0) / lens[:, None] + m.offset
 
 
-def _by_word_rates(sentences: list[list[str]], y: np.ndarray, p: Params) -> np.ndarray:
+def _by_word_rates(sentences: list[list[str]], y: np.ndarray, p: Params, n: int) -> np.ndarray:
     """The label under which the words of each sentence are most at home, by their rates in the sentences of each label.
 
     Passages that stand in documents of every language have words without a home, so their function words decide.
     """
-    size = np.bincount(y, minlength=len(CODES)) + 1.0
+    size = np.bincount(y, minlength=n) + 1.0
     counts: dict[str, np.ndarray] = {}
     for s, c in zip(sentences, y):
         for w in set(s) - {""}:
             if w not in counts:
-                counts[w] = np.zeros(len(CODES))
+                counts[w] = np.zeros(n)
             counts[w][c] += 1
-    rate = {w: np.log((n + 0.1) / size) for w, n in counts.items() if n.sum() >= p.common}
+    rate = {w: np.log((c + 0.1) / size) for w, c in counts.items() if c.sum() >= p.common}
     rate = {w: r - r.mean() for w, r in rate.items()}
-    none = np.zeros(len(CODES))
+    none = np.zeros(n)
     return np.array([sum((rate.get(w, none) for w in set(s)), none).argmax() for s in sentences])
 
 
-def train(docs: DataFrame, doc_id: str, text: str, label: str, p: Params = Params()) -> Model:  # noqa: B008
+def train(docs: DataFrame, doc_id: str, text: str, label: str, p: Params = Params(), languages: dict[str, list[str]] = LANGUAGES) -> Model:  # noqa: B008
     """Fits the model on a bounded sample of labelled documents: of each language the `per_language` with the lowest id hash.
 
     Labels may be wrong and documents mixed: sentences whose words are more at home under another label are left out
     first, later also those that the model contradicts, and common beginnings are thinned to `alike`.
-    A tenth of the sentences calibrates: the temperature minimises their log loss, and the least score per word keeps
-    the share `accepted` of those it gets right. Half of the training sentences also come without accents.
+    A tenth of the sentences calibrates: the temperature minimises their log loss, and the least score per word is
+    `margin` times the score that the share `accepted` of those it gets right exceeds. Half of the training sentences also come without accents.
     """
-    sentences, labels = [], []
-    for code, body in labelled_sample(docs, doc_id, text, named_language(F.col(label)), p.per_language):
+    codes, sentences, labels = list(languages), [], []
+    for code, body in labelled_sample(docs, doc_id, text, named_language(F.col(label), languages), p.per_language):
         own = _sentences(body)
         sentences += own
-        labels += [CODES.index(code)] * len(own)
+        labels += [codes.index(code)] * len(own)
     y = np.array(labels, dtype=np.int64)
     if not len(y):
-        return Model(p, np.zeros((p.buckets, p.dims), np.float32), np.zeros((p.dims, len(CODES)), np.float32), np.zeros(len(CODES), np.float32), least=1.0)
+        return Model(p, codes, np.zeros((p.buckets, p.dims), np.float32), np.zeros((p.dims, len(codes)), np.float32), np.zeros(len(codes), np.float32), least=1.0)
     held = np.random.default_rng(p.seed).random(len(y)) < 0.1
-    right = _by_word_rates(sentences, y, p) == y
+    right = _by_word_rates(sentences, y, p, len(codes)) == y
     for _ in range(p.rounds):
         use, begun = np.zeros(len(y), bool), Counter()
         for i in np.flatnonzero(right & ~held):
@@ -242,7 +312,7 @@ def train(docs: DataFrame, doc_id: str, text: str, label: str, p: Params = Param
             use[i] = begun[begin] <= p.alike
         at = np.flatnonzero(use)
         bare = at[::2]
-        m = _train([sentences[i] for i in at] + [[without_accents(x) for x in sentences[i]] for i in bare], np.concatenate([y[at], y[bare]]), p)
+        m = _train([sentences[i] for i in at] + [[without_accents(x) for x in sentences[i]] for i in bare], np.concatenate([y[at], y[bare]]), p, codes)
         scores = _scores(m, sentences)
         right &= scores.argmax(1) == y
     z, t = scores[held & right], y[held & right]
@@ -256,21 +326,22 @@ def train(docs: DataFrame, doc_id: str, text: str, label: str, p: Params = Param
         for i in np.flatnonzero(held & right):
             letters = np.array([bool(x) for x in sentences[i]])
             top.append(m.centred(m.word_scores(sentences[i]), letters).mean(0).max())
-        m.least = 0.3 * float(np.quantile(top, 1 - p.accepted))
+        m.least = p.margin * float(np.quantile(top, 1 - p.accepted))
     return m
 
 
-def segment(texts: list[str], m: Model) -> list[list[tuple[int, int, int, str, float]]]:
+def segment(texts: list[str], m: Model, reader: Reader | None = None) -> list[list[tuple[int, int, int, str, float]]]:
     """Of each text its segments (first word, end, words, code, confidence), whole texts, however long.
 
     The best path through the words of each text, all texts of a batch at once: a word gives its centred scores times
     `grip`, a change of language costs `turn` at the begin of a sentence or line and `stay` elsewhere. A state without
     language gives the calibrated least score, so it takes what no language claims (tables, sequences).
     """
-    p = m.p
-    read = [tokens(t) for t in texts]
-    lens = np.array([len(w) for w, _ in read])
-    n_states = len(CODES) + 1
+    p, reader = m.p, reader or Reader(m)
+    read = reader.read(texts)
+    lens = np.array([len(ids) for ids, _ in read], dtype=np.int64)
+    n_states = len(m.codes) + 1
+    same = np.arange(n_states, dtype=np.int8)
     out: list[list] = [[] for _ in texts]
     groups: list[list[int]] = []
     for i in np.argsort(lens, kind="stable"):  # texts of like length together, at most CELLS places at a time
@@ -279,53 +350,40 @@ def segment(texts: list[str], m: Model) -> list[list[tuple[int, int, int, str, f
         elif lens[i]:
             groups.append([i])
     for rows in groups:
-        longest = lens[rows[-1]]
-        emit = np.zeros((len(rows), longest, n_states), np.float32)
-        first = np.zeros((len(rows), longest), bool)
-        raws = []
+        longest, each = int(lens[rows[-1]]), np.arange(len(rows))
+        ids = np.ones((longest, len(rows)), np.int64)
+        first = np.zeros((longest, len(rows)), bool)
         for k, i in enumerate(rows):
-            raw = m.word_scores(read[i][0])
-            raws.append(raw)
-            letters = np.array([bool(w) for w in read[i][0]])
-            emit[k, : lens[i], :-1] = p.grip * m.centred(raw, letters)
-            emit[k, : lens[i], -1] = p.grip * m.least
-            first[k, : lens[i]] = read[i][1]
-        best = emit[:, 0]
-        back = np.zeros((len(rows), longest, n_states), np.int8)
-        same = np.arange(n_states, dtype=np.int8)
+            ids[: lens[i], k], first[: lens[i], k] = read[i]
+        cost = np.where(first, np.float32(p.turn), np.float32(p.stay))
+        best = reader.emit[ids[0]]
+        back = np.zeros((longest, len(rows), n_states), np.int8)
         for t in range(1, longest):
             top = best.argmax(1)
-            jump = best[np.arange(len(rows)), top] - np.where(first[:, t], p.turn, p.stay)
-            stay = best >= jump[:, None]
-            back[:, t] = np.where(stay, same, top[:, None].astype(np.int8))
-            best = np.where(stay, best, jump[:, None]) + emit[:, t]
+            jump = (best[each, top] - cost[t])[:, None]
+            back[t] = np.where(best >= jump, same, top[:, None].astype(np.int8))
+            best = np.maximum(best, jump) + reader.emit[ids[t]]
+        path = np.empty((longest, len(rows)), np.int8)
+        path[-1] = best.argmax(1)  # what stands behind the end of a text adds nothing that tells states apart
+        for t in range(longest - 1, 0, -1):
+            path[t - 1] = back[t, each, path[t]]
+        path = path.T
         for k, i in enumerate(rows):
-            n = lens[i]
-            # padding adds nothing that tells states apart, so the last real place decides
-            path = np.empty(n, np.int8)
-            path[-1] = best[k].argmax() if n == longest else _last(best[k], back[k], n, longest)
-            for t in range(n - 1, 0, -1):
-                path[t - 1] = back[k, t, path[t]]
-            edge = np.flatnonzero(np.r_[True, path[1:] != path[:-1], True])
+            own, words = path[k, : lens[i]], read[i][0]
+            edge = np.flatnonzero(np.r_[True, own[1:] != own[:-1], True])
             for s, e in zip(edge, edge[1:]):
                 code, conf = NONE, 0.0
-                letters = np.array([bool(w) for w in read[i][0][s:e]])
-                if path[s] < len(CODES) and letters.any():
-                    sc = raws[k][s:e][letters].mean(0)[None] + m.offset
-                    probs = np.exp((sc - sc.max()) / m.temperature)
-                    conf = float(probs[0, path[s]] / probs.sum())
-                    code = CODES[path[s]]
+                here = words[s:e]
+                here = here[here > 0]
+                if own[s] < len(m.codes) and len(here):
+                    sc = (reader.raw[here].mean(0) + m.offset) / m.temperature
+                    probs = np.exp(sc - sc.max())
+                    conf = float(probs[own[s]] / probs.sum())
+                    code = m.codes[own[s]]
                 out[i].append((int(s), int(e), int(e - s), code, conf))
     return out
 
 
-def _last(best: np.ndarray, back: np.ndarray, n: int, longest: int) -> int:
-    s = int(best.argmax())
-    for t in range(longest - 1, n - 1, -1):
-        s = int(back[t, s])
-    return s
-
-
 def language_segments(docs: DataFrame, doc_id: str, text: str, model: Model) -> DataFrame:
     """(doc_id, segment_no, first_word, n_words, lang_code, confidence) of every segment of every document.
 
@@ -334,8 +392,9 @@ def language_segments(docs: DataFrame, doc_id: str, text: str, model: Model) ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader(shared.value)
         for pdf in batches:
-            found = segment([t or "" for t in pdf["text"]], shared.value)
+            found = segment([t or "" for t in pdf["text"]], shared.value, reader)
             rows = [(i, k, *(s[0], s[2], s[3], s[4])) for i, ss in enumerate(found) for k, s in enumerate(ss or [(0, 0, 0, NONE, 0.0)], 1)]
             out = pd.DataFrame(rows, columns=["i", "segment_no", "first_word", "n_words", "lang_code", "confidence"])
             out.insert(0, "doc_id", pdf["doc_id"].to_numpy()[out["i"].to_numpy(dtype=int)])
