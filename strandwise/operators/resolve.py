@@ -51,6 +51,19 @@ def unresolved_key(mentions: DataFrame) -> DataFrame:
     return ids.select("evidence_id", F.md5(F.when(F.size("ids") > 0, text).otherwise(F.col("evidence_id"))).alias("unresolved_id"))
 
 
+def lookup_hits(mentions: DataFrame, lookup: DataFrame, optional: DataFrame) -> DataFrame:
+    """(evidence_id, n, t, c): of each mention that the lookup answers 1 or 2 for one or several candidates, the least type and identifier.
+
+    The same candidates as needed_lookup and candidates give, in one join by key: whether there are several is told by minimum and maximum, which
+    are formed in part before the shuffle by mention.
+    """
+    marked = lookup.join(optional.withColumn("optional", F.lit(True)), KEY, "left").withColumnRenamed("taxonomy_id", "lookup_taxonomy")
+    fits = (F.col("taxonomy_id") == F.col("lookup_taxonomy")) | F.col("lookup_taxonomy").isNull() | F.col("optional").isNotNull()
+    c = F.struct("canonical_type", "canonical_id")
+    met = mentions.where("key_value <> ''").join(marked, KEY).where(fits).groupBy("evidence_id").agg(F.min(c).alias("least"), F.max(c).alias("most"))
+    return met.select("evidence_id", F.when(F.col("least").eqNullSafe(F.col("most")), 1).otherwise(2).alias("n"), F.col("least.canonical_type").alias("t"), F.col("least.canonical_id").alias("c"))
+
+
 def resolve_entities(mentions: DataFrame, needed: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
     """(evidence_id, canonical_type, canonical_id, status, mechanism) of every mention.
 
@@ -59,7 +72,12 @@ def resolve_entities(mentions: DataFrame, needed: DataFrame, fallback: DataFrame
     """
     found = candidates(mentions, needed)
     one = found.groupBy("evidence_id").agg(F.count(F.lit(1)).alias("n"), F.min("canonical_type").alias("t"), F.min("canonical_id").alias("c"))
-    rows = unresolved_key(mentions).join(one, "evidence_id", "left")
+    return resolve_hits(mentions, one, fallback)
+
+
+def resolve_hits(mentions: DataFrame, hits: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
+    """resolve_entities with the answers of lookup_hits."""
+    rows = unresolved_key(mentions).join(hits, "evidence_id", "left")
     if fallback is None:
         rows = rows.select("*", F.lit(None).cast("bigint").alias("ft"), F.lit(None).cast("string").alias("fc"), F.lit(None).cast("string").alias("fm"))
     else:

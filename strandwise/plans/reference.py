@@ -123,8 +123,8 @@ def n20(spark, d):
 
 @query("n21_entity_resolution", f"WITH {RESOLUTION} SELECT * FROM resolution")
 def n21(spark, d):
-    m = mentions(spark, d)
-    return resolve.resolve_entities(m, n14(spark, d))
+    m, rows = mentions(spark, d), lookup(spark, d)
+    return resolve.resolve_hits(m, resolve.lookup_hits(m, rows, resolve.unambiguous_keys(rows, [GENE_NAME])))
 
 
 ENTITY_KEY = "'[\"' || m.entity_type || '\",\"' || coalesce(m.taxonomy_id::VARCHAR, '') || '\",\"' || coalesce(r.canonical_type::VARCHAR, '') || '\",\"' || r.canonical_id || '\"]'"
