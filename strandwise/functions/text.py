@@ -38,3 +38,18 @@ def accession_of(term: Column) -> Column:
     """The accession (two or more capitals, colon, four digits) in a term written in either order."""
     found = F.upper(F.regexp_extract(term, r"(?i)(?:^|[:\s])([A-Z]{2,}:\d{4})(?:$|[:\s])", 1))
     return F.when(found != "", found)
+
+
+def trigrams(c: Column) -> Column:
+    """The distinct three-sign sequences of a text's words in lower case, each word with two blanks before and one behind it."""
+    words = F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != "")
+    each = F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, 3)))
+    return F.array_distinct(F.flatten(each))
+
+
+def trigram_similarity(a: Column, b: Column) -> Column:
+    """Common trigrams over all trigrams of two texts; 0 if neither has any, null if one is null."""
+    x, y = trigrams(a), trigrams(b)
+    both = F.size(F.array_intersect(x, y))
+    every = F.size(x) + F.size(y) - both
+    return F.when(a.isNotNull() & b.isNotNull(), F.when(every == 0, 0.0).otherwise(both / every))

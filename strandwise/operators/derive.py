@@ -51,20 +51,27 @@ def bitmap_sizes(index: DataFrame, key: list[str]) -> DataFrame:
 
 
 def bitmap_overlaps(index: DataFrame, key: str) -> DataFrame:
-    """(a, b, overlap) by AND of the bitmaps of each block, a < b; keys are a bounded dimension."""
-    a, b = index.select(F.col(key).alias("a"), "bucket", F.col("bits").alias("x")), index.select(F.col(key).alias("b"), "bucket", F.col("bits").alias("y"))
-    both = a.join(b, "bucket").where("a < b")
+    """(a, b, overlap) of the keys whose bitmaps have a common bit, a < b, by AND of the bitmaps of each block.
 
-    def count(batches):
+    Each bitmap travels once, to its block; a block holds one of 4 KB per key, and keys are a bounded dimension. There
+    all pairs are counted together, some thousand places at a time.
+    """
+    kind = dict(index.dtypes)[key]
+
+    def count(pdf):
         import numpy as np
         import pandas as pd
 
-        for pdf in batches:
-            n = [int(np.bitwise_count(np.frombuffer(x, np.uint64) & np.frombuffer(y, np.uint64)).sum()) for x, y in zip(pdf["x"], pdf["y"])]
-            yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "n": n})
+        pdf = pdf.sort_values(key)
+        bits, keys = np.stack([np.frombuffer(x, np.uint8) for x in pdf["bits"]]), pdf[key].to_numpy()
+        both = np.zeros((len(keys), len(keys)), np.float64)
+        for at in range(0, bits.shape[1], 512):
+            some = np.unpackbits(bits[:, at : at + 512], axis=1).astype(np.float32)
+            both += some @ some.T
+        i, j = np.nonzero(np.triu(both, 1))
+        return pd.DataFrame({"a": keys[i], "b": keys[j], "n": both[i, j].astype(np.int64)})
 
-    kind = dict(index.dtypes)[key]
-    return both.mapInPandas(count, f"a {kind}, b {kind}, n long").groupBy("a", "b").agg(F.sum("n").alias("overlap")).where("overlap > 0")
+    return index.select(key, "bucket", "bits").groupBy("bucket").applyInPandas(count, f"a {kind}, b {kind}, n long").groupBy("a", "b").agg(F.sum("n").alias("overlap"))
 
 
 def facets(rows: DataFrame, item: str, columns: dict[str, str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,23 +11,77 @@ from pyspark.sql import functions as F
 from strandwise.functions.ids import sorted_text
 
 
-def direct_view(edges: DataFrame, nodes: DataFrame, name: str, subject_type: int, object_type: int, flip: bool = False, predicates: list[int] | None = None, taxonomy: int | None = None) -> DataFrame:
-    """(network, subject_id, object_id, predicate_id, n_evidence, sources): edges between two kinds of nodes.
+@dataclass(frozen=True)
+class View:
+    """What a network takes from the graph. Pairs run from compound to protein; `flip`: the edge runs from protein to compound.
 
-    `flip` reads them against their direction; `taxonomy` keeps pairs whose object belongs to one organism. The filters come before the
-    aggregation, so only edges of the view are shuffled by pair.
+    taxon: of the protein ("protein") or stated by the evidence ("evidence"); resolved: which ends must be resolved ("", "protein", "both");
+    needs: a pivot that must be filled, with the least value if it is a number; predicates: those counted, or all.
     """
-    s, o = ("object_id", "subject_id") if flip else ("subject_id", "object_id")
-    e = edges.select(F.col(s).alias("subject_id"), F.col(o).alias("object_id"), "predicate_id", "source_id")
-    if predicates:
-        e = e.where(F.col("predicate_id").isin(predicates))
-    left = nodes.where(F.col("entity_type_id") == subject_type).select(F.col("entity_id").alias("subject_id"))
-    right = nodes.where(F.col("entity_type_id") == object_type)
-    if taxonomy is not None:
-        right = right.where(F.col("taxonomy_id") == taxonomy)
-    pairs = e.join(left.distinct(), "subject_id", "left_semi").join(right.select(F.col("entity_id").alias("object_id")).distinct(), "object_id", "left_semi")
-    out = pairs.groupBy("subject_id", "object_id", "predicate_id").agg(F.count(F.lit(1)).alias("n_evidence"), sorted_text(F.lpad(F.col("source_id").cast("string"), 6, "0"), ",").alias("sources"))
-    return out.select(F.lit(name).alias("network"), "subject_id", "object_id", "predicate_id", "n_evidence", "sources")
+
+    name: str
+    source_id: int
+    flip: bool = False
+    taxon: tuple[str, int] | None = None
+    resolved: str = ""
+    needs: tuple[str, float | None] | None = None
+    predicates: tuple[int, ...] = ()
+
+
+def annotation_pivot(links: DataFrame, annotation: DataFrame, numbers: dict[str, str], texts: dict[str, str], flags: dict[str, str], true_words: list[str]) -> DataFrame:
+    """One row per (source_id, entity_evidence_id) with a column per listed accession.
+
+    annotation: annotation_key, accession, value. numbers: the greatest number left when all but digits, signs, points and exponents is
+    taken out; texts: the distinct texts in order; flags: whether any value is a word for true. Values per evidence are bounded by
+    its annotations. Evidence without a listed annotation has no row.
+    """
+    acc, value = F.col("accession"), F.col("value")
+    wanted = annotation.where(acc.isin([*numbers.values(), *texts.values(), *flags.values()]))
+    scrubbed = F.expr("try_cast(nullif(regexp_replace(value, '[^0-9.eE+-]', ''), '') as double)")
+    cols = [F.max(F.when(acc == a, scrubbed)).alias(n) for n, a in numbers.items()]
+    cols += [sorted_text(F.when(acc == a, F.trim(value))).alias(n) for n, a in texts.items()]
+    cols += [F.coalesce(F.bool_or(F.when(acc == a, F.lower(F.trim(value)).isin(true_words))), F.lit(False)).alias(n) for n, a in flags.items()]
+    return links.join(wanted, "annotation_key").groupBy("source_id", "entity_evidence_id").agg(*cols)
+
+
+def view_rows(edges: DataFrame, nodes: DataFrame, pivots: DataFrame, views: list[View], compound_types: list[int], protein_type: int) -> DataFrame:
+    """(network, source_id, relation_evidence_id, compound_id, protein_id, predicate_id, both_resolved, pivots) of all views in one pass.
+
+    edges: source_id, relation_evidence_id, entity_evidence_id (of the subject), subject_id, predicate_id, object_id; nodes: entity_id,
+    entity_type_id, taxonomy_id, resolution_status_id; pivots: source_id, entity_evidence_id and a column `taxon` beside the others. The types of both ends
+    and the pivots are joined once; then every edge is told the views whose gates it passes.
+    """
+    some = edges.where(F.col("source_id").isin([v.source_id for v in views]))
+    n = nodes.select("entity_id", "entity_type_id", "taxonomy_id", "resolution_status_id").where(F.col("entity_type_id").isin([*compound_types, protein_type]))
+    side = lambda p: n.select(F.col("entity_id").alias(f"{p}_id"), F.col("entity_type_id").alias(f"{p}_type"), F.col("taxonomy_id").alias(f"{p}_taxon"), (F.col("resolution_status_id") == 1).alias(f"{p}_resolved"))
+    met = some.join(side("subject"), "subject_id").join(side("object"), "object_id")
+    forward = F.col("subject_type").isin(compound_types) & (F.col("object_type") == protein_type)
+    back = F.col("object_type").isin(compound_types) & (F.col("subject_type") == protein_type)
+    whole = met.where(forward | back).join(pivots, ["source_id", "entity_evidence_id"], "left")
+    turned = lambda a, b: F.when(forward, F.col(a)).otherwise(F.col(b))
+    rows = whole.select(
+        "source_id", "relation_evidence_id", "predicate_id", turned("subject_id", "object_id").alias("compound_id"), turned("object_id", "subject_id").alias("protein_id"), forward.alias("forward"),
+        turned("object_taxon", "subject_taxon").alias("protein_taxon"), turned("object_resolved", "subject_resolved").alias("protein_resolved"), F.coalesce(F.col("subject_resolved") & F.col("object_resolved"), F.lit(False)).alias("both_resolved"),
+        *[c for c in pivots.columns if c not in ("source_id", "entity_evidence_id")],
+    )
+
+    def gate(v: View):
+        ok = (F.col("source_id") == v.source_id) & (~F.col("forward") if v.flip else F.col("forward"))
+        if v.taxon:
+            ok = ok & (F.col("protein_taxon") == v.taxon[1] if v.taxon[0] == "protein" else F.array_contains(F.split("taxon", "[|]"), str(v.taxon[1])))
+        if v.resolved:
+            ok = ok & F.col(f"{v.resolved}_resolved")
+        if v.needs:
+            ok = ok & (F.col(v.needs[0]).isNotNull() if v.needs[1] is None else F.col(v.needs[0]) >= v.needs[1])
+        return ok & F.col("predicate_id").isin(list(v.predicates)) if v.predicates else ok
+
+    named = F.array_compact(F.array(*[F.when(gate(v), F.lit(v.name)) for v in views]))
+    return rows.withColumn("network", F.explode(named)).drop("forward", "protein_taxon", "protein_resolved")
+
+
+def view_pairs(rows: DataFrame) -> DataFrame:
+    """(network, compound_id, protein_id, n_evidence) of view_rows whose ends are both resolved."""
+    return rows.where("both_resolved").groupBy("network", "compound_id", "protein_id").agg(F.count(F.lit(1)).alias("n_evidence"))
 
 
 def transport_view(edges: DataFrame, nodes: DataFrame, name: str, middle_type: int, controls: int, takes_part: int) -> DataFrame:
@@ -38,6 +93,15 @@ def transport_view(edges: DataFrame, nodes: DataFrame, name: str, middle_type: i
     return hops.groupBy("protein_id", "compound_id").agg(F.countDistinct("step_id").alias("n_transports")).select(F.lit(name).alias("network"), "protein_id", "compound_id", "n_transports")
 
 
+def transport_views(edges: DataFrame, nodes: DataFrame, networks: list[tuple[str, int, int, int]]) -> DataFrame:
+    """The columns of transport_view of several networks (name, type of the step, predicate of control, of participation)."""
+    out = None
+    for n in networks:
+        one = transport_view(edges, nodes, *n)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def annotated_transports(edges: DataFrame, nodes: DataFrame, annotations: DataFrame, name: str, middle_type: int, controls: int, takes_part: int, reactant: list[str], product: list[str], compartment: list[str]) -> DataFrame:
     """(network, source_id, relation_evidence_id, step_id, protein_id, compound_id, is_reactant, is_product, compartment_from, compartment_to, direction).
 
@@ -75,13 +139,13 @@ def pair_view(evidence: DataFrame, sides: DataFrame) -> DataFrame:
     return pairs.groupBy("ligand_id", "receptor_id").agg(F.count(F.lit(1)).alias("n_evidence"), F.countDistinct("source_id").alias("n_sources"), sorted_text(F.lpad(F.col("source_id").cast("string"), 6, "0"), ",").alias("sources"))
 
 
-def combined_view(views: list[DataFrame]) -> DataFrame:
-    """One row per pair over all views: (subject_id, object_id, n_networks, networks, n_evidence)."""
-    rows = None
-    for v in views:
-        part = v.select("network", "subject_id", "object_id", "n_evidence")
-        rows = part if rows is None else rows.unionByName(part)
-    return rows.groupBy("subject_id", "object_id").agg(F.countDistinct("network").alias("n_networks"), sorted_text(F.col("network")).alias("networks"), F.sum("n_evidence").alias("n_evidence"))
+def combined_view(pairs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row per pair over all networks, of compounds in `kept` (compound_id): (compound_id, protein_id, n_networks, networks, n_evidence).
+
+    pairs: network, compound_id, protein_id, n_evidence. Networks are a short list, so their text is.
+    """
+    some = pairs.join(kept.select("compound_id").distinct(), "compound_id", "left_semi")
+    return some.groupBy("compound_id", "protein_id").agg(F.countDistinct("network").alias("n_networks"), sorted_text(F.col("network")).alias("networks"), F.sum("n_evidence").alias("n_evidence"))
 
 
 def entity_annotations(nodes: DataFrame, attached: DataFrame, kinds: dict[str, int]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.operators.skew import small
+from strandwise.session import exists
 
 
 def encode(df: DataFrame, dictionaries: dict[str, DataFrame]) -> DataFrame:
@@ -23,10 +24,7 @@ def write_source(df: DataFrame, path: str) -> None:
 
 def has_source(spark: SparkSession, path: str, source_id: int) -> bool:
     """Whether the table holds rows of a source; reads the partition's listing at most."""
-    try:
-        return not spark.read.parquet(path).where(F.col("source_id") == source_id).limit(1).isEmpty()
-    except Exception:  # noqa: BLE001  no such table yet
-        return False
+    return exists(spark, path) and not spark.read.parquet(path).where(F.col("source_id") == source_id).limit(1).isEmpty()
 
 
 def assert_empty(df: DataFrame, what: str) -> None:
@@ -43,6 +41,14 @@ def upsert(stored: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     return stored.join(fresh, on, "left_anti").unionByName(rows)
 
 
+def merge_shards(shards: list[DataFrame]) -> DataFrame:
+    """One table of the states of several shards; a state that several hold comes once."""
+    out = shards[0]
+    for s in shards[1:]:
+        out = out.unionByName(s)
+    return out.distinct()
+
+
 def delete_source(graph: dict[str, DataFrame], source_id: int) -> dict[str, DataFrame]:
     """The graph without one source and without what only that source held up.
 

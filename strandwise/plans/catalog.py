@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandwise.plans import batch, composite, evidence, reference, relational
+from strandwise.plans import batch, composite, evidence, reference, relational, views
 
-QUERIES: dict = evidence.QUERIES | reference.QUERIES | batch.QUERIES | composite.QUERIES | relational.QUERIES
-ORACLES: dict[str, str] = evidence.ORACLES | reference.ORACLES | batch.ORACLES | composite.ORACLES | relational.ORACLES
+QUERIES: dict = evidence.QUERIES | reference.QUERIES | batch.QUERIES | composite.QUERIES | relational.QUERIES | views.QUERIES
+ORACLES: dict[str, str] = evidence.ORACLES | reference.ORACLES | batch.ORACLES | composite.ORACLES | relational.ORACLES | views.ORACLES

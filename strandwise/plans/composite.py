@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandwise.functions.ids import content_uuid, unit_joined
-from strandwise.operators import chemicals, pick, resolve
+from strandwise.operators import chemicals, pick, resolve, store
+from strandwise.operators.skew import small
 from strandwise.plans import reference as ref
 from strandwise.session import table
 
@@ -54,13 +55,6 @@ def n23(spark, d):
     return resolve.member_signature(m.join(both, "parent_id", "left_semi").drop("predicate_id"))
 
 
-@query("n24_resolution_overlay", f"WITH {ref.RESOLUTION}, s AS (SELECT evidence_id, 'sig' || canonical_id c FROM resolution WHERE canonical_id LIKE '%7') SELECT r.evidence_id, coalesce(s.c, r.canonical_id) canonical_id, CASE WHEN s.c IS NOT NULL THEN 'complex' ELSE mechanism END mechanism FROM resolution r LEFT JOIN s ON s.evidence_id = r.evidence_id")
-def n24(spark, d):
-    base = ref.n21(spark, d).select("evidence_id", "canonical_id", "mechanism")
-    over = base.where(F.col("canonical_id").endswith("7")).select("evidence_id", F.concat(F.lit("sig"), "canonical_id").alias("canonical_id"), F.lit("complex").alias("mechanism"))
-    return resolve.overlay([over, base])
-
-
 # The members of complexes (n22) and reactions (n23), each parent with its signature.
 _MEMBER = """'{"entity_type":"' || entity_type_id::VARCHAR || '","taxonomy_id":' || coalesce('"' || taxonomy_id::VARCHAR || '"', 'null') || ',"canonical_id":"' || canonical_id || '"}'"""
 _SIGNED = f"SELECT parent_id, sha256('[' || string_agg({_MEMBER}, ',' ORDER BY entity_type_id::VARCHAR, taxonomy_id IS NULL, taxonomy_id::VARCHAR, canonical_id) || ']') signature, bool_and(s = 1) resolved FROM"
@@ -120,19 +114,6 @@ def n39(spark, d):
     return i.select(content_uuid(unit_joined(F.lit("identifier"), F.col("t"), F.col("v"))).alias("identifier_id"), "t", "v")
 
 
-@query("n40_merged_states", "SELECT entity_id, entity_type_id FROM entity WHERE resolution_status_id = 1 UNION SELECT entity_id, entity_type_id FROM entity WHERE taxonomy_id = 9606")
-def n40(spark, d):
-    e = table(spark, d, "entity")
-    return e.where("resolution_status_id = 1").select("entity_id", "entity_type_id").unionByName(e.where("taxonomy_id = 9606").select("entity_id", "entity_type_id")).distinct()
-
-
-@query("n45_chebi_clusters", f"WITH {ref.COMPLETE}, s AS (SELECT DISTINCT ct, cv FROM complete WHERE kt = 13), f AS (SELECT kt, kv, ct, cv FROM complete ANTI JOIN s USING (ct, cv) WHERE ct = 8) SELECT * FROM f")
-def n45(spark, d):
-    c = ref.complete(spark, d)
-    structural = c.where("kt = 13").select("ct", "cv").distinct()
-    return c.where("ct = 8").join(structural, ["ct", "cv"], "left_anti").select("kt", "kv", "ct", "cv")
-
-
 # From mem (row_id, t, v) and hits (t, v, ik): clusters (key_type, key_value, canonical_type, canonical_id).
 CLUSTERS = """e AS (SELECT DISTINCT t::VARCHAR || ':' || v a, 'row ' || row_id b FROM mem), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
  r(node, root, step) AS (SELECT a, least(a, min(b)), 1 FROM s GROUP BY a UNION ALL SELECT node, root, step + 1 FROM (SELECT s.a node, least(any_value(me.root), min(x.root)) root, any_value(x.step) step FROM s JOIN r x ON x.node = s.b JOIN r me ON me.node = s.a GROUP BY s.a) WHERE step < 400),
@@ -165,13 +146,6 @@ def n45_canonical(spark, d):
     return chemicals.chebi_clusters(refs, ref.CHEBI, ref.INCHIKEY, [KEGG, CAS], [ref.PUBCHEM, ref.HMDB, LIPIDMAPS])
 
 
-@query("n92_name_cascade", "WITH m AS (SELECT DISTINCT entity_id, lower(trim(label)) n, taxonomy_id t FROM entity WHERE entity_type_id = 2), c AS (SELECT entity_id, 1 how, t::VARCHAR target FROM m WHERE t = 10116 UNION ALL SELECT entity_id, 2, n FROM m WHERE n LIKE '%5' UNION ALL SELECT entity_id, 3, 'gene' FROM m WHERE n IS NOT NULL) SELECT entity_id, arg_min(how, how) how, arg_min(target, (how, target)) target FROM c GROUP BY 1")
-def n92(spark, d):
-    m = table(spark, d, "entity").where("entity_type_id = 2").select("entity_id", F.lower(F.trim("label")).alias("n"), F.col("taxonomy_id").alias("t")).distinct()
-    steps = [m.where("t = 10116").select("entity_id", F.lit(1).alias("how"), F.col("t").cast("string").alias("target")), m.where("n like '%5'").select("entity_id", F.lit(2).alias("how"), F.col("n").alias("target")), m.where("n is not null").select("entity_id", F.lit(3).alias("how"), F.lit("gene").alias("target"))]
-    return resolve.first_method(steps, "entity_id")
-
-
 @query("n89_protein_annotation", "SELECT entity_id, string_agg(DISTINCT label, '|' ORDER BY label) labels, max(CASE WHEN canonical_identifier_type_id = 3 THEN trim(canonical_identifier) END) entrez, bool_or(resolution_status_id = 1) resolved FROM entity WHERE entity_type_id = 2 AND taxonomy_id = 9606 GROUP BY 1")
 def n89(spark, d):
     from strandwise.functions.ids import sorted_text
@@ -201,3 +175,52 @@ def u4(spark, d):
     t = table(spark, d, "chemical_identifier_lookup")
     both = t.select(F.col("key_value").alias("k"), F.col("canonical_identifier").alias("v")).unionByName(t.select(F.col("canonical_identifier").alias("k"), F.col("key_value").alias("v")))
     return both.where("k is not null").groupBy("k").agg(F.min("v").alias("v"))
+
+
+@query("n40_merged_states", "SELECT DISTINCT entity_id, resolution_mechanism FROM entity_evidence_resolution WHERE entity_id IS NOT NULL")
+def n40(spark, d):
+    """The states of two shards, which hold the sources with even and odd numbers, merged."""
+    r = table(spark, d, "entity_evidence_resolution").where("entity_id is not null")
+    return store.merge_shards([r.where(F.col("source_id") % 2 == k).select("entity_id", "resolution_mechanism").distinct() for k in (0, 1)])
+
+
+@query("n92_name_cascade", rf"""WITH m AS (SELECT DISTINCT entity_id, canonical_identifier_type_id t, nullif(trim(canonical_identifier), '') c, nullif(lower(trim(label)), '') n FROM entity), i AS (SELECT DISTINCT identifier_id, identifier_type_id t, trim(value) v FROM identifier_evidence WHERE trim(value) <> ''),
+ s AS (SELECT DISTINCT identifier_id, lower(trim(p)) n FROM (SELECT identifier_id, unnest(string_split(v, '|')) p FROM i WHERE t IN (5, 6, 16, 28)) WHERE trim(p) <> ''), b AS (SELECT identifier_id, nullif(regexp_replace(n, '\s*[(\[][^()\[\]]*[)\]]$', ''), '') n FROM s),
+ c AS (SELECT entity_id, 1 how, identifier_id target FROM m JOIN i ON i.t = m.t AND i.v = m.c UNION ALL SELECT entity_id, 2, identifier_id FROM m JOIN s USING (n) UNION ALL SELECT entity_id, 3, identifier_id FROM (SELECT entity_id, nullif(regexp_replace(n, '\s*[(\[][^()\[\]]*[)\]]$', ''), '') n FROM m) JOIN b USING (n))
+ SELECT entity_id, min(how) how, arg_min(target, (how, target)) target FROM c GROUP BY 1""")
+def n92(spark, d):
+    """By identifier, then by exact name or split synonym, then by name without a closing remark; the earlier method wins."""
+    m = table(spark, d, "entity").select("entity_id", F.col("canonical_identifier_type_id").alias("t"), F.nullif(F.trim("canonical_identifier"), F.lit("")).alias("v"), F.nullif(F.lower(F.trim("label")), F.lit("")).alias("n")).distinct()
+    i = table(spark, d, "identifier_evidence").select("identifier_id", F.col("identifier_type_id").alias("t"), F.trim("value").alias("v")).where("v <> ''").distinct()
+    s = i.where("t in (5, 6, 16, 28)").select("identifier_id", F.explode(F.split("v", "[|]")).alias("n")).select("identifier_id", F.lower(F.trim("n")).alias("n")).where("n <> ''").distinct()
+    short = lambda df: df.withColumn("n", F.nullif(F.regexp_replace("n", r"\s*[(\[][^()\[\]]*[)\]]$", ""), F.lit("")))
+    step = lambda df, k: df.select("entity_id", F.lit(k).alias("how"), F.col("identifier_id").alias("target"))
+    return resolve.first_method([step(m.join(i, ["t", "v"]), 1), step(m.select("entity_id", "n").join(s, "n"), 2), step(short(m.select("entity_id", "n")).join(short(s), "n"), 3)], "entity_id")
+
+
+@query("a16_any_value", "SELECT relation_id, any_value(predicate_id) predicate_id, any_value(subject_entity_id) subject_id, count(*) n_rows FROM relation GROUP BY 1")
+def a16(spark, d):
+    """Columns that the key determines need no order."""
+    return table(spark, d, "relation").groupBy("relation_id").agg(F.any_value("predicate_id").alias("predicate_id"), F.any_value("subject_entity_id").alias("subject_id"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("f_time_known", "SELECT entity_id, created_at <= now() known, coalesce(deleted_at <= now(), false) gone FROM entity")
+def f_time(spark, d):
+    now = F.current_timestamp()
+    return table(spark, d, "entity").select("entity_id", (F.col("created_at") <= now).alias("known"), F.coalesce(F.col("deleted_at") <= now, F.lit(False)).alias("gone"))
+
+
+_TRI = "list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"
+
+
+@query("f_trigram_similarity", f"WITH t AS (SELECT DISTINCT entity_id, {_TRI.format('label')} a, {_TRI.format('canonical_identifier')} b FROM entity WHERE label IS NOT NULL AND canonical_identifier IS NOT NULL) SELECT entity_id, round(CASE WHEN len(a) + len(b) = 0 THEN 0 ELSE len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END, 9) similarity FROM t")
+def f_trigram(spark, d):
+    from strandwise.functions.text import trigram_similarity
+
+    return table(spark, d, "entity").where("label is not null and canonical_identifier is not null").select("entity_id", "label", "canonical_identifier").distinct().select("entity_id", F.round(trigram_similarity(F.col("label"), F.col("canonical_identifier")), 9).alias("similarity"))
+
+
+@query("x2_type_names", "SELECT identifier_id, i.identifier_type_id, name FROM identifier_evidence i LEFT JOIN vocab_identifier_type v ON v.identifier_type_id = i.identifier_type_id")
+def x2(spark, d):
+    """Numbers to names by a checked broadcast."""
+    return table(spark, d, "identifier_evidence").select("identifier_id", "identifier_type_id").join(small(table(spark, d, "vocab_identifier_type").select("identifier_type_id", "name")), "identifier_type_id", "left").select("identifier_id", "identifier_type_id", "name")

@@ -441,7 +441,7 @@ def n73(spark, d):
     return derive.resource_table(table(spark, d, "data_source"), table(spark, d, "entity_evidence_resolution"), table(spark, d, "relation_evidence_relation"))
 
 
-@query("n74_manifest")
+@query("n74_manifest", f"WITH r AS ({ORACLES['n73_resources']}) SELECT substr(sha256(string_agg(line, chr(10) ORDER BY line)), 1, 12) build_id, count(*) n_sources, count(*) FILTER (status = 'built') n_built, count(*) FILTER (status = 'built') < count(*) partial FROM (SELECT *, concat_ws('|', n_entities, n_mentions, n_relations, coalesce(name, ''), source_id, status) line FROM r)")
 def n74(spark, d):
     return derive.build_manifest(n73(spark, d))
 
@@ -477,10 +477,9 @@ def n36(spark, d):
     return out.withColumn("sources", F.array_join("sources", ","))
 
 
-@query("n37_dimension_upsert", "WITH k AS (SELECT source_id, name FROM data_source WHERE source_id <= 20), f AS (SELECT DISTINCT name FROM data_source WHERE name NOT IN (SELECT name FROM k)) SELECT name, (SELECT max(source_id) FROM k) + row_number() OVER (ORDER BY name) source_id FROM f")
+@query("n37_dimension_upsert", "WITH k AS (SELECT resolution_mechanism, trust_rank FROM vocab_resolution_mechanism), f AS (SELECT DISTINCT resolution_mechanism FROM entity_evidence_resolution WHERE resolution_mechanism IS NOT NULL AND resolution_mechanism NOT IN (SELECT resolution_mechanism FROM k)) SELECT resolution_mechanism, (SELECT max(trust_rank) FROM k) + row_number() OVER (ORDER BY resolution_mechanism) trust_rank FROM f")
 def n37(spark, d):
-    s = table(spark, d, "data_source")
-    return pick.missing_names(s, s.where("source_id <= 20"), "name", "source_id")
+    return pick.missing_names(table(spark, d, "entity_evidence_resolution"), table(spark, d, "vocab_resolution_mechanism"), "resolution_mechanism", "trust_rank")
 
 
 @query("n38_encoded_evidence", "SELECT e.source_id, entity_evidence_id, v.trust_rank resolution_mechanism FROM entity_evidence_resolution e LEFT JOIN vocab_resolution_mechanism v USING (resolution_mechanism)")
@@ -514,23 +513,6 @@ def m8(spark, d):
 
 # --- network views ---------------------------------------------------------------------------------------------------
 
-VIEWS = [("n76_chembl", 1, 2, False, [1, 2, 3, 4], None), ("n77_bindingdb", 1, 2, False, None, None), ("n78_cellinker", 1, 2, False, None, 9606), ("n79_guidetopharma", 3, 2, False, None, 9606), ("n80_mrclinksdb", 1, 2, False, [5, 6], 9606), ("n81_stitch", 3, 2, False, [1, 2], None), ("n82_tcdb", 1, 2, True, None, None), ("n86_cellphonedb", 1, 1, False, [7], None), ("n87_neuronchat", 1, 1, False, [8], None)]
-
-
-def _view_sql(name, st, ot, flip, preds, tax):
-    s, o = ("object_id", "subject_id") if flip else ("subject_id", "object_id")
-    w = (f" AND predicate_id IN ({', '.join(map(str, preds))})" if preds else "") + (f" AND o.taxonomy_id = {tax}" if tax else "")
-    return f"SELECT '{name}' network, {s} subject_id, {o} object_id, predicate_id, count(*) n_evidence, {LIST} sources FROM edges JOIN ent s ON s.entity_id = {s} JOIN ent o ON o.entity_id = {o} WHERE s.entity_type_id = {st} AND o.entity_type_id = {ot}{w} GROUP BY {s}, {o}, predicate_id"
-
-
-def _view(name, st, ot, flip, preds, tax):
-    return lambda spark, d: networks.direct_view(edges(spark, d), nodes(spark, d), name, st, ot, flip, preds, tax)
-
-
-for _v in VIEWS:
-    query(_v[0] + "_view", f"WITH {EDGES}, {ENT} {_view_sql(*_v)}")(_view(*_v))
-
-
 def _transport(name, mid, controls, part):
     sql = f"WITH {EDGES}, {ENT}, c AS (SELECT DISTINCT subject_id protein_id, object_id step FROM edges WHERE predicate_id = {controls}), p AS (SELECT DISTINCT subject_id step, object_id compound_id FROM edges WHERE predicate_id = {part}) SELECT '{name}' network, protein_id, compound_id, count(DISTINCT c.step) n_transports FROM c JOIN p ON p.step = c.step WHERE c.step IN (SELECT entity_id FROM ent WHERE entity_type_id = {mid}) GROUP BY 2, 3"
     query(name + "_view", sql)(lambda spark, d: networks.transport_view(edges(spark, d), nodes(spark, d), name, mid, controls, part))
@@ -545,11 +527,6 @@ def n75(spark, d):
     return networks.pair_view(edges(spark, d).select("source_id", "relation_evidence_id", "subject_id", "object_id").distinct(), sides)
 
 
-@query("n88_combined_view", f"WITH {EDGES}, {ENT}, v AS ({' UNION ALL '.join(f'({_view_sql(*v)})' for v in VIEWS if v[0] != 'n77_bindingdb')}) SELECT subject_id, object_id, count(DISTINCT network) n_networks, string_agg(DISTINCT network, '|' ORDER BY network) networks, sum(n_evidence)::BIGINT n_evidence FROM v GROUP BY 1, 2")
-def n88(spark, d):
-    return networks.combined_view([_view(*v)(spark, d) for v in VIEWS if v[0] != "n77_bindingdb"])
-
-
 KINDS = {"inchikey": 13, "chebi": 8, "pubchem": 12}
 
 

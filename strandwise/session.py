@@ -30,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system is there; other faults are raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; a temporary one only where the setting is absent and everything runs in one process.
 

@@ -1,13 +1,20 @@
-"""Sources and sinks: raw record shards, lookups, SDF text, inline values, and JDBC tables."""
+"""Sources and sinks: raw record shards, lookups, SDF text, rule files, inline values, and JDBC tables."""
 
 from __future__ import annotations
 
+import importlib
 import json
 import os
+import pkgutil
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strandwise.operators.pick import dense_ids
+from strandwise.session import exists
 
 #: Data sets that are skipped unless named.
 LEFT_OUT = frozenset()
@@ -35,6 +42,44 @@ class Catalog:
     def load(self, spark: SparkSession, source: str, dataset: str) -> DataFrame:
         return self.loaders[source, dataset][0](spark)
 
+    def discover(self, package: str) -> dict[str, str]:
+        """Imports every module of a package and calls its `register(catalog)`; those that can't be imported are reported and left out."""
+        failed = {}
+        for m in pkgutil.walk_packages(importlib.import_module(package).__path__, f"{package}."):
+            try:
+                module = importlib.import_module(m.name)
+            except ImportError as e:
+                failed[m.name] = str(e)
+                continue
+            if hasattr(module, "register"):
+                module.register(self)
+        return failed
+
+
+def plain_types(df: DataFrame) -> DataFrame:
+    """Columns as a shard can hold them: bytes as text (broken UTF-8 replaced), untyped nulls as text, structs without children left out."""
+
+    def usable(kind: T.DataType) -> bool:
+        return not isinstance(kind, T.StructType) or any(usable(f.dataType) for f in kind.fields)
+
+    def cast(c: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.BinaryType):
+            return F.make_valid_utf8(c.cast("string"))
+        if isinstance(kind, T.NullType):
+            return c.cast("string")
+        if isinstance(kind, T.StructType):
+            return F.when(c.isNotNull(), F.struct(*[cast(c[f.name], f.dataType).alias(f.name) for f in kind.fields if usable(f.dataType)]))
+        if isinstance(kind, T.ArrayType) and usable(kind.elementType):
+            return F.transform(c, lambda x: cast(x, kind.elementType))
+        return c
+
+    return df.select(*[cast(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields if usable(f.dataType)])
+
+
+def numbered(df: DataFrame, key: str, out: str = "row_id", offset: int = 0) -> DataFrame:
+    """Consecutive numbers after `offset` in order of a unique key, so the numbers of a later shard go on from an earlier one's."""
+    return dense_ids(df, key, out, offset + 1)
+
 
 def write_shards(df: DataFrame, path: str, manifest: dict) -> None:
     """Raw rows as compressed Parquet; a manifest beside them is written last, so an unfinished write is a miss."""
@@ -45,13 +90,15 @@ def write_shards(df: DataFrame, path: str, manifest: dict) -> None:
 
 def cached_shards(spark: SparkSession, path: str, manifest: dict) -> DataFrame | None:
     """The shards if their manifest says the same, else None."""
-    try:
-        rows = spark.read.text(f"{path.rstrip('/')}.manifest").limit(2).collect()
-        if len(rows) != 1 or json.loads(rows[0][0]) != manifest:
-            return None
-        return read_shards(spark, path)
-    except Exception:  # noqa: BLE001  absent or broken: a miss
+    at = f"{path.rstrip('/')}.manifest"
+    if not exists(spark, at) or not exists(spark, path):
         return None
+    rows = spark.read.text(at).limit(2).collect()
+    try:
+        same = len(rows) == 1 and json.loads(rows[0][0]) == manifest
+    except ValueError:  # a manifest that was cut off
+        same = False
+    return read_shards(spark, path) if same else None
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -65,12 +112,13 @@ def capped(df: DataFrame, max_records: int, order: list[str]) -> DataFrame:
 
 
 def lookup(spark: SparkSession, candidates: list[str]) -> DataFrame | None:
-    """The first of several places (files, folders or patterns) that can be read."""
+    """The first of several places (files, folders or patterns) that is there; one that is there but broken is an error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in candidates:
-        try:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        found = p.getFileSystem(conf).globStatus(p)
+        if found is not None and len(found):
             return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001  try the next place
-            continue
     return None
 
 
@@ -97,6 +145,54 @@ def read_sdf(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
     return text.select(*[F.nullif(F.regexp_extract("value", rf"(?m)^>[^\n]*<{f}>[^\n]*\n((?:[^\n]+\n?)*?)(?:\n|\z)", 1), F.lit("")).alias(f) for f in fields]).select(*[F.trim(F.regexp_replace(f, r"\s+$", "")).alias(f) for f in fields])
 
 
+def shard_names(listing: str, pattern: str = r"[\w.-]+\.sdf\.gz") -> list[str]:
+    """The distinct shard names that the links of a folder's HTML listing lead to, in order."""
+    return sorted({m[1].rpartition("/")[2] for m in re.finditer(r"""href\s*=\s*["']([^"'?#]+)["']""", listing, re.IGNORECASE) if re.fullmatch(pattern, m[1].rpartition("/")[2])})
+
+
+def write_resumably(spark: SparkSession, shards: list[str], load: Callable[[str], DataFrame], folder: str) -> dict[str, int]:
+    """Each shard as Parquet with its row count beside it, written last; shards whose count is there are not loaded again. Returns rows by shard.
+
+    A gzip shard can't be split, so it is one task; the driver sees counts only.
+    """
+    out = {}
+    for s in shards:
+        at = f"{folder.rstrip('/')}/{s.rpartition('/')[2]}"
+        done = f"{at}.done"
+        if not exists(spark, f"{done}/_SUCCESS"):
+            load(s).write.mode("overwrite").parquet(at)
+            spark.createDataFrame([(str(spark.read.parquet(at).count()),)], "n string").coalesce(1).write.mode("overwrite").text(done)
+        out[s] = int(spark.read.text(done).first()[0])
+    return out
+
+
+def rules(path: str) -> list[dict]:
+    """The rules of a JSON or YAML file (a list of mappings); small by nature, so they become an inline relation or expressions."""
+    with open(path) as f:
+        if path.endswith((".yaml", ".yml")):
+            import yaml
+
+            found = yaml.safe_load(f)
+        else:
+            found = json.load(f)
+    if not isinstance(found, list) or not all(isinstance(x, dict) for x in found):
+        raise ValueError(f"{path} holds no list of rules")
+    return found
+
+
+def columns_of(spark: SparkSession, path: str) -> list[str]:
+    """The columns of a table in a folder, or none if it isn't there."""
+    return spark.read.parquet(path).columns if exists(spark, path) else []
+
+
+def by_case(df: DataFrame, column: str, cases: dict[str, int], otherwise: int | None = None) -> DataFrame:
+    """A text column mapped to numbers as a database export states them; texts that are not listed give `otherwise`."""
+    out = F.lit(otherwise).cast("bigint")
+    for text, n in cases.items():
+        out = F.when(F.col(column) == text, F.lit(n)).otherwise(out)
+    return df.withColumn(column, out.cast("bigint"))
+
+
 def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small fixed relation; joined with it, rows are never shuffled."""
     return spark.createDataFrame(rows, schema)

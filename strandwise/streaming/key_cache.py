@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.operators.pick import new_keys
+from strandwise.session import exists
 
 
 class KeyCache:
@@ -15,10 +16,9 @@ class KeyCache:
         self.spark, self.path, self.keys = spark, path, keys
 
     def known(self, before: int | None = None) -> DataFrame | None:
-        try:
-            df = self.spark.read.parquet(self.path)
-        except Exception:  # noqa: BLE001  nothing written yet
+        if not exists(self.spark, self.path):  # nothing written yet; a broken cache is an error, it would let all keys in again
             return None
+        df = self.spark.read.parquet(self.path)
         return df if before is None else df.where(F.col("batch") < before)
 
     def add(self, batch: DataFrame, number: int) -> None:

@@ -120,7 +120,7 @@ def test_interactions_and_broken_records(spark):
 
 
 def test_labels(spark):
-    rows = [("e", 1, "Aspirin"), ("e", 1, "aspirin"), ("e", 1, "Aspirin"), ("e", 2, "acetylsalicylic acid"), ("f", 2, "123"), ("f", 2, "caffeine (PTFI 1)|x"), ("g", 2, IK1)]
+    rows = [("e", 1, "Aspirin"), ("e", 1, "aspirin"), ("e", 1, "Aspirin"), ("e", 2, "acetylsalicylic acid"), ("f", 2, "123"), ("f", 2, "caffeine (PTF00001)|x"), ("g", 2, IK1)]
     got = {r[0]: (r[1], r[2]) for r in derive.label_cascade(spark.createDataFrame(rows, "e string, k long, v string"), "e", "k", "v", {1: 1, 2: 5}).collect()}
     assert got == {"e": ("Aspirin", 1), "f": ("caffeine", 5)}
     ids = {r[0]: r[1] for r in derive.identifier_label(spark.createDataFrame([("a", 8, "CHEBI:1"), ("b", 12, "7"), ("b", 8, "9")], "e string, k long, v string"), "e", "k", "v", {8: (1, "CHEBI:"), 12: (3, "CID:")}).collect()}
