@@ -160,24 +160,29 @@ class Codebook:
         return self.best[s]
 
 
-def frequent_words(rows: DataFrame) -> dict[str, frozenset[str]]:
+def class_sizes(rows: DataFrame) -> DataFrame:
+    """(class, size): fields of each class; the classes are few, so this is a small relation made of what reached the driver."""
+    found = rows.groupBy("class").agg(F.count(F.lit(1)).alias("size")).collect()
+    return rows.sparkSession.createDataFrame([(r["class"], r["size"]) for r in found], "class string, size long")
+
+
+def frequent_words(rows: DataFrame, sizes: DataFrame) -> dict[str, frozenset[str]]:
     """By class, the lower-case words of three letters or more that stand in at least WORD_SHARE of its fields.
 
     At most (words per field / WORD_SHARE) per class reach the driver.
     """
-    size = rows.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
     words = rows.select("class", F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(r"[a-z]{3,}"), F.lit(0)))).alias("word")).groupBy("class", "word").agg(F.count(F.lit(1)).alias("n"))
-    often = words.where(F.col("n") >= WORD_LEAST).join(F.broadcast(size), "class").where(F.col("n") >= WORD_SHARE * F.col("size"))
+    often = words.where(F.col("n") >= WORD_LEAST).join(F.broadcast(sizes), "class").where(F.col("n") >= WORD_SHARE * F.col("size"))
     out = defaultdict(set)
     for r in often.select("class", "word").collect():
         out[r[0]].add(r[1])
     return {c: frozenset(w) for c, w in out.items()}
 
 
-def shape_counts(rows: DataFrame, words: dict[str, frozenset[str]]) -> dict[str, dict[str, int]]:
-    """By class, whole-field shapes with their counts; rare ones are left to the escape code.
+def shape_counts(rows: DataFrame, words: dict[str, frozenset[str]], sizes: DataFrame) -> DataFrame:
+    """(class, shape, n): whole-field shapes with their counts; rare ones are left to the escape code.
 
-    Each Arrow batch counts its own shapes first. At most 1 / SHAPE_SHARE shapes per class reach the driver.
+    Each task counts its own shapes first. At most 1 / SHAPE_SHARE shapes of a class remain.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,12 +196,20 @@ def shape_counts(rows: DataFrame, words: dict[str, frozenset[str]]) -> dict[str,
         yield pd.DataFrame([(*k, x) for k, x in n.items()], columns=["class", "shape", "n"])
 
     counts = rows.select("class", "value").mapInPandas(count, "class string, shape string, n long").groupBy("class", "shape").agg(F.sum("n").alias("n"))
-    size = rows.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
-    kept = counts.where(F.col("n") >= SHAPE_LEAST).join(F.broadcast(size), "class").where(F.col("n") >= SHAPE_SHARE * F.col("size"))
-    out: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in kept.select("class", "shape", "n").toLocalIterator():
-        out[r[0]][r[1]] = r[2]
-    return out
+    return counts.where(F.col("n") >= SHAPE_LEAST).join(F.broadcast(sizes), "class").where(F.col("n") >= SHAPE_SHARE * F.col("size")).select("class", "shape", "n")
+
+
+def code_lengths(counts: DataFrame) -> dict[str, dict[str, float]]:
+    """By class, the code words of its Codebook. The books of different classes are made in different tasks; a class has at most 1 / SHAPE_SHARE shapes."""
+
+    def book(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = Codebook(dict(zip(pdf["shape"], pdf["n"]))).bits
+        return pd.DataFrame({"class": pdf["class"].iloc[0], "shape": list(bits), "bits": list(bits.values())})
+
+    out: dict[str, dict[str, float]] = defaultdict(dict)
+    for r in counts.groupBy("class").applyInPandas(book, "class string, shape string, bits double").toLocalIterator():
+        out[r["class"]][r["shape"]] = r["bits"]
+    return dict(out)
 
 
 def split_packed(fields: DataFrame, keys: list[str], class_col: str, value_col: str) -> DataFrame:
@@ -213,9 +226,9 @@ def split_packed(fields: DataFrame, keys: list[str], class_col: str, value_col:
     text, of any length, is parsed whole.
     """
     rows = fields.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.coalesce(F.col(class_col).cast("string"), F.lit("")).alias("class"), F.col(value_col).alias("value")).where(~no_text(F.col("value")))
-    words = frequent_words(rows)
-    books = {c: Codebook(n) for c, n in shape_counts(rows, words).items()}
-    shared = fields.sparkSession.sparkContext.broadcast((words, {c: b.bits for c, b in books.items()}))
+    sizes = class_sizes(rows)
+    words = frequent_words(rows, sizes)
+    shared = fields.sparkSession.sparkContext.broadcast((words, code_lengths(shape_counts(rows, words, sizes))))
     names = [f"k{i}" for i in range(len(keys))]
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
