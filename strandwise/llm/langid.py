@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,9 +45,9 @@ def named_language(label: Column, languages: dict[str, list[str]] = LANGUAGES) -
 class Params:
     buckets: int = 1 << 16  # of the subword hash
     dims: int = 16
-    per_language: int = 800  # documents of each label that train and calibrate; the bound of the sample
+    per_language: int = 3000  # documents of each label that train and calibrate; the bound of the sample
     common: int = 6  # sentences of the sample that a word must stand in to teach; names would be learned by heart
-    alike: int = 12  # sentences of a label that begin with the same two words; more teach nothing new
+    alike: int = 50  # sentences of a label that begin with the same two words; more teach nothing new
     dropout: float = 0.4  # share of words left out of a sentence in each epoch, so that no single word carries it
     rounds: int = 2  # of training; after the first, sentences that the model contradicts are dropped
     epochs: int = 8
@@ -74,7 +76,7 @@ def tokens(text: str) -> tuple[list[str], list[bool]]:
         for t in _TOKEN.findall(line):
             m = _LETTERS.search(t)
             if m or any(ch.isdigit() for ch in t):
-                out.append(m[0].lower() if m and not any(ch.isdigit() for ch in t) else "")
+                out.append(sys.intern(m[0].lower()) if m and not any(ch.isdigit() for ch in t) else "")
                 first.append(new)
                 new = False
             if _END.search(t):
@@ -83,7 +85,7 @@ def tokens(text: str) -> tuple[list[str], list[bool]]:
 
 
 def without_accents(w: str) -> str:
-    return w if w.isascii() else "".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c))
+    return w if w.isascii() else sys.intern("".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c)))
 
 
 def subwords(word: str, buckets: int) -> list[int]:
@@ -190,27 +192,26 @@ class Reader:
 
 
 def _bags(sentences: list[list[str]], p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Flat subwords, their weights (each word counts once, spread over its subwords), their word, and the start of each sentence."""
-    idx, w, word, start, memo, n = [], [], [], [], {}, 0
+    """The frequent words of all sentences as numbers, the start of each sentence, and the subwords of each number with their starts."""
     often = Counter(x for s in sentences for x in set(s))
+    number: dict[str, int] = {}
+    tok, start = array("i"), [0]
     for s in sentences:
-        start.append(len(idx))
-        ws = [x for x in s if x and often[x] >= p.common]
-        for x in ws:
-            if x not in memo:
-                memo[x] = subwords(x, p.buckets)
-            idx += memo[x]
-            w += [1.0 / len(memo[x]) / len(ws)] * len(memo[x])
-            word += [n] * len(memo[x])
-            n += 1
-    start.append(len(idx))
-    return np.array(idx), np.array(w, np.float32), np.array(word), np.array(start)
+        tok.extend(number.setdefault(x, len(number)) for x in s if x and often[x] >= p.common)
+        start.append(len(tok))
+    subs = [subwords(x, p.buckets) for x in number]
+    return np.array(tok, dtype=np.int32), np.array(start), np.array([i for x in subs for i in x], dtype=np.int64), np.cumsum([0, *map(len, subs)])
+
+
+def _spans(first: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The places first[i], first[i] + 1, ... of each span, one after the other."""
+    return np.repeat(first - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
 
 
 def _train(sentences: list[list[str]], labels: np.ndarray, p: Params, codes: list[str]) -> Model:
     """Softmax regression on averaged embeddings by stochastic gradient descent over shuffled batches."""
     rng = np.random.default_rng(p.seed)
-    idx, w, word, start = _bags(sentences, p)
+    tok, start, sub, sub_start = _bags(sentences, p)
     emb = np.zeros((p.buckets, p.dims), np.float32)  # subwords that never taught say nothing
     weight, offset = np.zeros((p.dims, len(codes)), np.float32), np.zeros(len(codes), np.float32)
     weight += rng.standard_normal(weight.shape).astype(np.float32) * 0.3
@@ -221,16 +222,16 @@ def _train(sentences: list[list[str]], labels: np.ndarray, p: Params, codes: lis
         order = rng.permutation(len(labels))
         for a in range(0, len(order), p.batch):
             rate = p.rate * (1 - steps / total)
-            kept = rng.random(word[-1] + 1 if len(word) else 1) >= p.dropout if a == 0 else kept
+            kept = rng.random(max(1, len(tok))) >= p.dropout if a == 0 else kept
             steps += 1
             b = order[a : a + p.batch]
-            lens = start[b + 1] - start[b]
-            place = np.repeat(start[b] - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(lens.sum())
-            row = np.repeat(np.arange(len(b)), lens)
-            left = kept[word[place]]
-            place, row = place[left], row[left]
+            own = start[b + 1] - start[b]
+            place, row = _spans(start[b], own), np.repeat(np.arange(len(b)), own)
+            left = kept[place]
+            word, row = tok[place[left]], row[left]
+            n = sub_start[word + 1] - sub_start[word]
+            f, row, g = sub[_spans(sub_start[word], n)], np.repeat(row, n), np.repeat(1.0 / (n * own[row] * (1 - p.dropout)), n).astype(np.float32)
             lens = np.bincount(row, minlength=len(b))
-            f, g = idx[place], w[place] / (1 - p.dropout)
             vec = np.zeros((len(b), p.dims), np.float32)
             full = np.flatnonzero(lens > 0)
             if not len(full):
@@ -259,13 +260,17 @@ def _sentences(text: str) -> list[list[str]]:
 
 def _scores(m: Model, sentences: list[list[str]]) -> np.ndarray:
     """Mean word scores of sentences, each of which has words."""
-    words = [x for s in sentences for x in s if x]
-    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    if not words:
-        return np.zeros((0, len(m.codes)))
-    lens = np.array([sum(bool(x) for x in s) for s in sentences])
-    rows = m.word_scores(list(number))[[number[w] for w in words]]
-    return np.add.reduceat(rows, np.cumsum(lens) - lens, axis=0) / lens[:, None] + m.offset
+    number: dict[str, int] = {}
+    for s in sentences:
+        for x in s:
+            number.setdefault(x, len(number))
+    scores, out = m.word_scores(list(number)), [np.zeros((0, len(m.codes)))]
+    for a in range(0, len(sentences), 20_000):
+        some = sentences[a : a + 20_000]
+        lens = np.array([sum(bool(x) for x in s) for s in some])
+        rows = scores[np.fromiter((number[x] for s in some for x in s if x), np.int64)]
+        out.append(np.add.reduceat(rows, np.cumsum(lens) - lens, axis=0) / lens[:, None] + m.offset)
+    return np.concatenate(out)
 
 
 def _by_word_rates(sentences: list[list[str]], y: np.ndarray, p: Params, n: int) -> np.ndarray:
