@@ -17,11 +17,14 @@ def top1(df: DataFrame, keys: list[str], order: list[tuple[str, bool]]) -> DataF
     """
     rest = [c for c in df.columns if c not in keys]
     parts: list[Column] = []
+    value: dict[str, Column] = {c: F.col(f"b.{c}") for c in rest}
     for i, (c, up) in enumerate(order):
-        v = F.col(c) if up else -F.col(c)
-        parts += [F.col(c).isNull().alias(f"n{i}"), v.alias(f"o{i}")]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*parts, *[F.col(c) for c in rest if c not in {o for o, _ in order}], F.struct(*[F.col(c) for c in rest]).alias("row"))).alias("b"))
-    return best.select(*keys, *[F.col(f"b.row.{c}").alias(c) for c in rest]).select(df.columns)
+        parts += [F.col(c).isNull().alias(f"__n{i}"), (F.col(c) if up else -F.col(c)).alias(f"__o{i}")]
+        if c in rest:  # each column travels once: an order column is read back from its place in the order
+            value[c] = F.col(f"b.__o{i}") if up else -F.col(f"b.__o{i}")
+    ordered = {o for o, _ in order}
+    best = df.groupBy(*keys).agg(F.min(F.struct(*parts, *[F.col(c) for c in rest if c not in ordered])).alias("b"))
+    return best.select(*keys, *[value[c].alias(c) for c in rest]).select(df.columns)
 
 
 def value_counts(df: DataFrame, keys: list[str], value: list[str]) -> DataFrame:

@@ -133,15 +133,40 @@ def member_signature(members: DataFrame, min_members: int = 1) -> DataFrame:
     return g.where(F.size("m") >= min_members).select("parent_id", F.sha2(F.to_json(plain, {"ignoreNullFields": "false"}), 256).alias("signature"), F.size("m").alias("n_members"), "resolved")
 
 
+def nested_signature(members: DataFrame, min_members: int = 1) -> DataFrame:
+    """member_signature with complexes among the members: such a member stands under its own signature, and counts as resolved when its members are.
+
+    Two passes, so complexes within complexes are told one level deep.
+    """
+    inner = member_signature(members, min_members).select(F.col("parent_id").alias("canonical_id"), "signature", F.col("resolved").alias("inner"))
+    own = members.join(inner, "canonical_id", "left")
+    told = own.select("parent_id", "entity_type", "taxonomy_id", F.coalesce("signature", "canonical_id").alias("canonical_id"), F.when(F.col("inner").isNull(), F.col("status")).when(F.col("inner"), 1).otherwise(2).alias("status"))
+    return member_signature(told, min_members)
+
+
+def gene_parts(found: DataFrame) -> DataFrame:
+    """(evidence_id, gene, part_id): the copies of each mention that several genes answer. found: (evidence_id, canonical_id)."""
+    many = found.select("evidence_id", "canonical_id").distinct()
+    many = many.join(many.groupBy("evidence_id").count().where("count > 1").select("evidence_id"), "evidence_id")
+    return many.select("evidence_id", F.col("canonical_id").alias("gene"), content_uuid(F.concat("evidence_id", F.lit("#mg="), "canonical_id")).alias("part_id"))
+
+
+def follow_parts(rows: DataFrame, parts: DataFrame, mention: str) -> DataFrame:
+    """Rows that refer to a mention (annotations, annotation relations, ontology rows), once per copy where the mention was split.
+
+    Rows of other mentions, and those without one, stay as they are.
+    """
+    p = parts.select(F.col("evidence_id").alias(mention), F.col("part_id").alias("__part"))
+    return rows.join(p, mention, "left").withColumn(mention, F.coalesce("__part", mention)).select(rows.columns)
+
+
 def split_multi_gene(mentions: DataFrame, found: DataFrame, references: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Mentions that several canonical genes answer become one mention per gene; referring rows follow.
 
     found: (evidence_id, canonical_id). references: relation_evidence_id, subject_id, object_id (mentions). Returns mentions and
     references with new ids: `id#mg=gene` hashed, and `id#mgs=..#mgo=..` hashed where an endpoint was split.
     """
-    many = found.select("evidence_id", "canonical_id").distinct()
-    many = many.join(many.groupBy("evidence_id").count().where("count > 1").select("evidence_id"), "evidence_id")
-    parts = many.select("evidence_id", F.col("canonical_id").alias("gene"), content_uuid(F.concat("evidence_id", F.lit("#mg="), "canonical_id")).alias("part_id"))
+    parts = gene_parts(found)
     kept = mentions.join(parts.select("evidence_id").distinct(), "evidence_id", "left_anti")
     split = mentions.join(parts, "evidence_id").withColumn("evidence_id", F.col("part_id")).drop("part_id", "gene")
     s = parts.select(F.col("evidence_id").alias("subject_id"), F.col("gene").alias("gs"), F.col("part_id").alias("ps"))

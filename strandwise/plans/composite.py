@@ -69,6 +69,16 @@ def n24_layered(spark, d):
     return resolve.layered_resolution(ref.n21(spark, d), ref.n22(spark, d), n23(spark, d))
 
 
+@query("n22_nested_signature", f"""WITH {SIG}, one AS (SELECT DISTINCT parent_id, entity_type_id, taxonomy_id, canonical_id, s FROM m WHERE side = 'reactant'), inn AS ({_SIGNED} one GROUP BY 1),
+ two AS (SELECT DISTINCT one.parent_id, entity_type_id, taxonomy_id, coalesce(inn.signature, canonical_id) canonical_id, CASE WHEN inn.resolved IS NULL THEN s WHEN inn.resolved THEN 1 ELSE 2 END s FROM one LEFT JOIN inn ON inn.parent_id = canonical_id)
+ SELECT parent_id, sha256('[' || string_agg({_MEMBER}, ',' ORDER BY entity_type_id::VARCHAR, taxonomy_id IS NULL, taxonomy_id::VARCHAR, canonical_id) || ']') signature, count(*)::INT n_members, bool_and(s = 1) resolved FROM (SELECT parent_id, entity_type_id, taxonomy_id, canonical_id, bool_and(s = 1)::INT s FROM two GROUP BY 1, 2, 3, 4) GROUP BY 1""")
+def n22_nested(spark, d):
+    """Complexes whose members may be complexes."""
+    e = ref.nodes(spark, d).select(F.col("entity_id").alias("canonical_id"), F.col("entity_type_id").alias("entity_type"), "taxonomy_id", F.col("resolution_status_id").alias("status")).where("entity_type is not null")
+    r = table(spark, d, "relation").where("predicate_id = 5").select(F.col("object_entity_id").alias("parent_id"), F.col("subject_entity_id").alias("canonical_id")).distinct()
+    return resolve.nested_signature(r.join(e, "canonical_id"))
+
+
 @query("n25_ontology_terms_resolved", "WITH t AS (SELECT DISTINCT trim(canonical_identifier) id FROM entity WHERE canonical_identifier LIKE 'CHEBI:%'), l AS (SELECT trim(key_value) k, min(trim(canonical_identifier)) c, count(DISTINCT trim(canonical_identifier)) n FROM chemical_identifier_lookup WHERE trim(canonical_identifier) <> '' GROUP BY 1) SELECT id term_id, CASE WHEN n = 1 THEN c ELSE id END canonical_id, coalesce(n, 0) = 1 by_lookup FROM t LEFT JOIN l ON k = id")
 def n25(spark, d):
     t = table(spark, d, "entity").where(F.col("canonical_identifier").like("CHEBI:%")).select(F.trim("canonical_identifier").alias("term_id")).distinct()

@@ -160,6 +160,15 @@ def n15b(spark, d):
     return multi_gene(spark, d)[1]
 
 
+@query("n15_multi_gene_annotations", f"WITH {MULTI}, a AS (SELECT DISTINCT r.entity_id evidence_id, annotation_key FROM entity_evidence_annotation JOIN entity_evidence_resolution r USING (source_id, entity_evidence_id)) SELECT coalesce(part_id, a.evidence_id) evidence_id, annotation_key FROM a LEFT JOIN parts p ON p.evidence_id = a.evidence_id")
+def n15c(spark, d):
+    """Annotations follow the copies of their mention."""
+    m = mentions(spark, d)
+    who = table(spark, d, "entity_evidence_resolution").select("source_id", "entity_evidence_id", F.col("entity_id").alias("evidence_id")).distinct()
+    said = table(spark, d, "entity_evidence_annotation").join(who, ["source_id", "entity_evidence_id"]).select("evidence_id", "annotation_key").distinct()
+    return resolve.follow_parts(said, resolve.gene_parts(resolve.candidates(m, n14(spark, d))), "evidence_id")
+
+
 def multi_gene(spark, d):
     m = mentions(spark, d)
     refs = table(spark, d, "relation").select("relation_id", "subject_entity_id", "object_entity_id").distinct()

@@ -51,3 +51,24 @@ def test_an_origin_adds_only_what_earlier_ones_lack(spark):
     assert set(rows) == {"C1", "C2"}
     assert (rows["C1"]["mechanism"], rows["C1"]["origin"], rows["C1"]["sources"]) == ("chebi", 1, "000001,000002,000003") and (rows["C2"]["origin"], rows["C2"]["mechanism"], rows["C2"]["sources"]) == (2, None, None)
     assert batch.entity_union([first.limit(0)], {}).count() == 0
+
+
+def test_complexes_within_complexes(spark):
+    from strandwise.operators import resolve
+
+    schema = "parent_id string, entity_type string, taxonomy_id long, canonical_id string, status int"
+    inner = [("in", "Protein", 1, "a", 1), ("in", "Protein", 1, "b", 2)]
+    got = {r["parent_id"]: r for r in resolve.nested_signature(spark.createDataFrame([*inner, ("out", "Complex", None, "in", 1), ("out", "Protein", 1, "c", 1), ("same", "Complex", None, "in", 1), ("same", "Protein", 1, "c", 1), ("other", "Complex", None, "elsewhere", 1), ("other", "Protein", 1, "c", 1)], schema)).collect()}
+    flat = {r["parent_id"]: r for r in resolve.member_signature(spark.createDataFrame(inner, schema)).collect()}
+    assert got["in"]["signature"] == flat["in"]["signature"] and not got["in"]["resolved"]
+    assert got["out"]["signature"] == got["same"]["signature"] != got["other"]["signature"]
+    assert not got["out"]["resolved"] and got["other"]["resolved"] and got["out"]["n_members"] == 2
+
+
+def test_rows_follow_the_copies_of_their_mention(spark):
+    from strandwise.operators import resolve
+
+    parts = resolve.gene_parts(spark.createDataFrame([("m", "1"), ("m", "2"), ("m", "2"), ("n", "1")], "evidence_id string, canonical_id string"))
+    rows = spark.createDataFrame([("m", "x"), ("n", "y"), (None, "z")], "evidence_id string, note string")
+    got = sorted((r["note"], r["evidence_id"] in ("n", None)) for r in resolve.follow_parts(rows, parts, "evidence_id").collect())
+    assert got == [("x", False), ("x", False), ("y", True), ("z", True)]

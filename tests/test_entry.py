@@ -52,3 +52,20 @@ def test_nothing_else_needs_the_training_data_folder():
     root = Path(__file__).parent.parent
     done = subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"PYTHONPATH": str(root)}, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
+
+
+def test_a_fault_inside_the_training_data_folder_is_raised(tmp_path):
+    import shutil
+
+    root = Path(__file__).parent.parent
+    if not (root / "strandwise" / "llm").exists():
+        pytest.skip("the folder is absent")
+    shutil.copytree(root / "strandwise", tmp_path / "strandwise")
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    (tmp_path / "strandwise" / "llm" / "queries.py").write_text("import no_such_module_anywhere\n")
+    code = "import __spark_entry__ as e\ntry:\n    e.queries()\nexcept ImportError:\n    print('raised')"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert done.stdout.strip() == "raised", done.stderr
+    shutil.rmtree(tmp_path / "strandwise" / "llm")
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print('p2_found' in e.queries(), 'p1_found' in e.queries())"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert done.stdout.strip() == "False True", done.stderr
