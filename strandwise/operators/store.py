@@ -54,7 +54,8 @@ def delete_source(graph: dict[str, DataFrame], source_id: int) -> dict[str, Data
 
     graph: resolution (source_id, entity_id), links (source_id, relation_id, relation_evidence_id), evidence (source_id,
     relation_evidence_id), relation (relation_id, subject_entity_id, object_entity_id), entity (entity_id). The order matters: rows of the source go first,
-    then relations without a link, then entities that neither a mention nor a remaining relation holds.
+    then relations without a link, then entities that neither a mention nor a remaining relation holds. Where the graph has annotation_links
+    (source_id, annotation_key) and annotation (annotation_key), annotations that only the source referred to go as well; those nobody referred to stay.
     """
     gone = F.col("source_id").eqNullSafe(F.lit(source_id))
     out = {n: graph[n].where(~gone) for n in ("resolution", "links", "evidence")}
@@ -65,4 +66,9 @@ def delete_source(graph: dict[str, DataFrame], source_id: int) -> dict[str, Data
     ends = out["relation"].select(F.explode(F.array("subject_entity_id", "object_entity_id")).alias("entity_id"))
     held = out["resolution"].select("entity_id").unionByName(ends).distinct()
     out["entity"] = graph["entity"].join(lost.join(held, "entity_id", "left_anti"), "entity_id", "left_anti")
+    if "annotation_links" in graph:
+        said = graph["annotation_links"]
+        out["annotation_links"] = said.where(~gone)
+        mute = said.where(gone).select("annotation_key").where("annotation_key is not null").distinct().join(out["annotation_links"].select("annotation_key").distinct(), "annotation_key", "left_anti")
+        out["annotation"] = graph["annotation"].join(mute, "annotation_key", "left_anti")
     return out

@@ -381,13 +381,6 @@ def n59(spark, d):
     return n51(spark, d).join(m, "entity_id", "left").select("entity_id", (F.col("relation_count") + F.coalesce("n", F.lit(0))).alias("search_count"))
 
 
-@query("n60_entity_facets", f"WITH {ENT}, f AS (SELECT DISTINCT entity_id, unnest([('entity_type', entity_type_id::VARCHAR), ('taxonomy_id', taxonomy_id::VARCHAR), ('identifier_type', canonical_identifier_type_id::VARCHAR), ('status', resolution_status_id::VARCHAR)]) x FROM ent UNION SELECT DISTINCT entity_id, ('source', source_id::VARCHAR) FROM entity_evidence_resolution WHERE entity_id IS NOT NULL) SELECT x[1] facet, x[2] AS value, count(*) n FROM f WHERE x[2] IS NOT NULL GROUP BY 1, 2".replace("x[1]", "struct_extract(x, 1)").replace("x[2]", "struct_extract(x, 2)"))
-def n60(spark, d):
-    own = derive.facets(table(spark, d, "entity"), "entity_id", {"entity_type": "entity_type_id", "taxonomy_id": "taxonomy_id", "identifier_type": "canonical_identifier_type_id", "status": "resolution_status_id"})
-    src = derive.facets(table(spark, d, "entity_evidence_resolution").where("entity_id is not null"), "entity_id", {"source": "source_id"})
-    return own.unionByName(src)
-
-
 @query("n61_relation_facets", f"WITH {ENT}, r AS (SELECT DISTINCT relation_id, predicate_id, relation_category_id, subject_entity_id, object_entity_id FROM relation), f AS (SELECT relation_id, 'predicate' facet, predicate_id::VARCHAR || ':' || coalesce(relation_category_id::VARCHAR, '') v FROM r UNION SELECT relation_id, 'source', source_id::VARCHAR FROM relation_evidence_relation WHERE relation_id IS NOT NULL UNION SELECT relation_id, 'participant_type', entity_type_id::VARCHAR FROM r JOIN ent ON entity_id IN (subject_entity_id, object_entity_id) UNION SELECT relation_id, 'taxonomy_id', taxonomy_id::VARCHAR FROM r JOIN ent ON entity_id IN (subject_entity_id, object_entity_id)) SELECT facet, v AS value, count(*) n FROM f WHERE v IS NOT NULL GROUP BY 1, 2")
 def n61(spark, d):
     r = table(spark, d, "relation").select("relation_id", "predicate_id", "relation_category_id", "subject_entity_id", "object_entity_id").distinct()
@@ -406,7 +399,7 @@ def n53(spark, d):
     return derive.term_table(table(spark, d, "annotation").select(acc.alias("accession"), name.alias("name")))
 
 
-CLASS_RULES = [(i, c, p) for i in range(1, 41) for c, p in [(("drug", "food", "metabolite", "lipid")[i % 4], (1, 3, 4, 2)[i % 4])] if i % 5]
+CLASS_RULES = [(i, c, p) for i in range(1, 41) for c, p in [(("drug", "food", "metabolite", "lipid")[i % 4], (1, 3, 4, 2)[i % 4])]]
 
 
 @query("n62_class", f"WITH rules(source_id, class, precedence) AS (VALUES {', '.join(f'({i}, {chr(39)}{c}{chr(39)}, {p})' for i, c, p in CLASS_RULES)}), m AS (SELECT DISTINCT entity_id, source_id FROM entity_evidence_resolution WHERE entity_id IS NOT NULL), h AS (SELECT entity_id, arg_min(class, precedence) class FROM m JOIN rules USING (source_id) GROUP BY 1) SELECT entity_id, coalesce(class, 'metabolite') AS class FROM (SELECT DISTINCT entity_id FROM m) LEFT JOIN h USING (entity_id)")
@@ -415,6 +408,17 @@ def n62(spark, d):
     return derive.most_specific_class(table(spark, d, "entity_evidence_resolution").where("entity_id is not null"), rules, "entity_id", "source_id", "metabolite")
 
 
+@query("n60_entity_facets", f"""WITH {ENT}, cl AS ({ORACLES['n62_class']}), f AS (SELECT DISTINCT entity_id, unnest([{{'f': 'entity_type', 'v': entity_type_id::VARCHAR}}, {{'f': 'taxonomy_id', 'v': taxonomy_id::VARCHAR}}, {{'f': 'identifier_type', 'v': canonical_identifier_type_id::VARCHAR}}, {{'f': 'status', 'v': resolution_status_id::VARCHAR}}, {{'f': 'ontology_id', 'v': CASE WHEN canonical_identifier_type_id = 8 AND starts_with(trim(canonical_identifier), 'CHEBI:') THEN trim(canonical_identifier) END}}]) x FROM ent
+  UNION SELECT DISTINCT entity_id, {{'f': 'source', 'v': source_id::VARCHAR}} FROM entity_evidence_resolution WHERE entity_id IS NOT NULL UNION SELECT cl.entity_id, {{'f': 'chemical_class', 'v': class}} FROM cl WHERE entity_id IN (SELECT entity_id FROM ent WHERE entity_type_id IN (1, 3)))
+ SELECT x.f facet, x.v AS value, count(*) n FROM f WHERE x.v IS NOT NULL GROUP BY 1, 2""")
+def n60(spark, d):
+    e = table(spark, d, "entity").withColumn("onto", F.when((F.col("canonical_identifier_type_id") == CHEBI) & F.startswith(F.trim("canonical_identifier"), F.lit("CHEBI:")), F.trim("canonical_identifier")))
+    own = derive.facets(e, "entity_id", {"entity_type": "entity_type_id", "taxonomy_id": "taxonomy_id", "identifier_type": "canonical_identifier_type_id", "status": "resolution_status_id", "ontology_id": "onto"})
+    src = derive.facets(table(spark, d, "entity_evidence_resolution").where("entity_id is not null"), "entity_id", {"source": "source_id"})
+    chemicals_ = e.where("entity_type_id in (1, 3)").select("entity_id").distinct()
+    return own.unionByName(src).unionByName(derive.facets(n62(spark, d).join(chemicals_, "entity_id", "left_semi"), "entity_id", {"chemical_class": "class"}))
+
+
 KEYWORDS = {"blood": ["plasma", "marrow", "spleen"], "membrane": ["membrane", "junction", "reticulum"], "organ": ["liver", "kidney", "lung", "pancreas", "retina"]}
 _KW = " ".join(f"WHEN {' OR '.join(f'contains(lower(value), {chr(39)}{w}{chr(39)})' for w in ws)} THEN {i}" for i, ws in enumerate(KEYWORDS.values()))
 
@@ -498,7 +502,7 @@ def n38(spark, d):
 
 
 def graph(spark, d):
-    return {"resolution": table(spark, d, "entity_evidence_resolution"), "links": table(spark, d, "relation_evidence_relation"), "evidence": table(spark, d, "relation_evidence"), "relation": table(spark, d, "relation").distinct(), "entity": nodes(spark, d)}
+    return {"resolution": table(spark, d, "entity_evidence_resolution"), "links": table(spark, d, "relation_evidence_relation"), "evidence": table(spark, d, "relation_evidence"), "relation": table(spark, d, "relation").distinct(), "entity": nodes(spark, d), "annotation_links": table(spark, d, "entity_evidence_annotation"), "annotation": table(spark, d, "annotation").distinct()}
 
 
 LEFT = "res AS (SELECT * FROM entity_evidence_resolution WHERE source_id <> 3), lnk AS (SELECT * FROM relation_evidence_relation WHERE source_id <> 3), orphaned AS (SELECT DISTINCT relation_id FROM relation_evidence_relation WHERE source_id = 3 AND relation_id IS NOT NULL EXCEPT SELECT relation_id FROM lnk), rel AS (SELECT DISTINCT * FROM relation WHERE relation_id NOT IN (SELECT relation_id FROM orphaned))"
@@ -514,6 +518,11 @@ def m3e(spark, d):
     return store.delete_source(graph(spark, d), 3)["entity"].select("entity_id", "entity_type_id")
 
 
+@query("m3_source_delete_annotations", "WITH gone AS (SELECT DISTINCT annotation_key FROM entity_evidence_annotation WHERE source_id = 3 AND annotation_key IS NOT NULL EXCEPT SELECT annotation_key FROM entity_evidence_annotation WHERE source_id <> 3) SELECT DISTINCT annotation_key, term, value, unit FROM annotation WHERE annotation_key NOT IN (SELECT annotation_key FROM gone)")
+def m3a(spark, d):
+    return store.delete_source(graph(spark, d), 3)["annotation"].select("annotation_key", "term", "value", "unit")
+
+
 @query("m8_upsert", "SELECT DISTINCT source_a_id, source_b_id, content_kind, CASE WHEN source_a_id = 1 THEN -1 ELSE overlap END AS overlap FROM resource_overlap_summary WHERE source_a_id <> 1 UNION SELECT DISTINCT source_a_id, source_b_id, content_kind, -1 FROM resource_overlap_summary WHERE source_a_id = 1")
 def m8(spark, d):
     s, k = table(spark, d, "resource_overlap_summary").distinct(), ["source_a_id", "source_b_id", "content_kind"]

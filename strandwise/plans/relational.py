@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandwise.functions.ids import sorted_text
+from strandwise.functions.text import no_text
 from strandwise.operators import pick
 from strandwise.session import table
 
@@ -92,9 +93,12 @@ def w6(spark, d):
     return ends.groupBy("entity_id").agg(F.count(F.lit(1)).alias("relation_count")).orderBy(F.desc("relation_count"), "entity_id").limit(25)
 
 
-@query("j03_null_safe_join", "SELECT a.entity_id, b.entity_id same_as FROM (SELECT DISTINCT entity_id, entity_type_id, taxonomy_id, trim(canonical_identifier) c FROM entity WHERE canonical_identifier LIKE 'CHEBI%') a JOIN (SELECT DISTINCT entity_id, entity_type_id, taxonomy_id, trim(canonical_identifier) c FROM entity WHERE canonical_identifier LIKE 'CHEBI%') b ON a.c = b.c AND a.taxonomy_id IS NOT DISTINCT FROM b.taxonomy_id AND a.entity_type_id IS NOT DISTINCT FROM b.entity_type_id")
+_USABLE = "SELECT DISTINCT entity_id, entity_type_id, taxonomy_id, trim(canonical_identifier) c FROM entity WHERE lower(trim(canonical_identifier)) NOT IN ('', '-', '--', '?', '.', 'n/a', 'n.a.', 'na', 'none', 'null', 'nil', 'nan', 'unknown', 'not available')"
+
+
+@query("j03_null_safe_join", f"SELECT a.entity_id, b.entity_id same_as FROM ({_USABLE}) a JOIN ({_USABLE}) b ON a.c = b.c AND a.taxonomy_id IS NOT DISTINCT FROM b.taxonomy_id AND a.entity_type_id IS NOT DISTINCT FROM b.entity_type_id")
 def j03(spark, d):
-    e = table(spark, d, "entity").where(F.col("canonical_identifier").like("CHEBI%")).select("entity_id", "entity_type_id", "taxonomy_id", F.trim("canonical_identifier").alias("c")).distinct()
+    e = table(spark, d, "entity").select("entity_id", "entity_type_id", "taxonomy_id", F.trim("canonical_identifier").alias("c")).where(~no_text(F.col("c"))).distinct()
     a, b = e.alias("a"), e.alias("b")
     return a.join(b, (F.col("a.c") == F.col("b.c")) & F.col("a.taxonomy_id").eqNullSafe(F.col("b.taxonomy_id")) & F.col("a.entity_type_id").eqNullSafe(F.col("b.entity_type_id"))).select("a.entity_id", F.col("b.entity_id").alias("same_as"))
 
