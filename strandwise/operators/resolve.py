@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.functions.ids import content_uuid, entity_key, relation_key, sorted_text, unit_joined
+from strandwise.operators.components import connected_groups
 from strandwise.operators.pick import top1, value_counts
-from strandwise.session import Scratch
 
 INCHIKEY = r"^[A-Z]{14}-[A-Z]{10}-[A-Z]$"
 KEY = ["entity_type", "key_type", "key_value"]
@@ -185,29 +185,9 @@ def molecular_states(mentions: DataFrame, accession_type: int) -> DataFrame:
     return rows.select(base.alias("accession"), iso.alias("isoform")).distinct().withColumn("state_id", content_uuid(unit_joined(F.lit("state"), F.lit("2"), F.col("accession"), F.col("isoform")))).select("state_id", "accession", "isoform")
 
 
-def lookup_components(rows: DataFrame, left: str, right: str, rounds: int = 50) -> DataFrame:
-    """(node, root): connected components of cross references by minimum-label propagation.
-
-    Labels also jump to the label of their label, so rounds grow with the logarithm of the longest chain; every round is written to the shared checkpoint folder.
-    """
-    scratch = Scratch(rows.sparkSession)
-    pairs = rows.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a is not null and b is not null").distinct()
-    edges = scratch.write(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    stored = labels = scratch.write(edges.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node")))
-    for _ in range(rounds):
-        near = edges.join(labels, edges.b == labels.node).groupBy("a").agg(F.min("root").alias("near"))
-        moved = labels.join(near, labels.node == near.a, "left").select("node", F.least("root", F.coalesce("near", "root")).alias("hop"), F.col("root").alias("old"))
-
-        jump = labels.select(F.col("node").alias("hop"), F.col("root").alias("far"))
-        step = scratch.write(moved.join(jump, "hop", "left").select("node", F.least("hop", F.coalesce("far", "hop")).alias("root"), "old"))
-        changed = not step.where("root <> old").isEmpty()
-        scratch.drop(stored)
-        stored, labels = step, step.select("node", "root")
-        if not changed:
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    return labels
+def lookup_components(rows: DataFrame, left: str, right: str) -> DataFrame:
+    """(node, root): connected components of cross references by their bytewise least label, in rounds that grow with the logarithm of the longest chain."""
+    return connected_groups(rows, left, right).toDF("node", "root")
 
 
 def best_representative_of(rows: DataFrame, keys: list[str], value: str, preferred: str) -> DataFrame:
