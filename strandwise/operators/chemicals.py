@@ -115,10 +115,12 @@ def cluster_lookup(rows: DataFrame, hits: DataFrame, structure_type: int, prefer
     least identifier of the first of the preferred types that it has (numbers by size), else its least identifier by type and value.
     """
     label = F.concat_ws(":", F.col("key_type").cast("string"), "key_value")
-    members = rows.where("key_value <> ''").select("row_id", "key_type", "key_value", label.alias("node")).distinct()
-    # a row is a node beside its identifiers, so n identifiers of a row need n edges
-    roots = lookup_components(members.select("node", F.concat(F.lit("row "), F.col("row_id").cast("string")).alias("row")), "node", "row")
-    nodes = Scratch(rows.sparkSession).write(members.select("node", "key_type", "key_value").distinct().join(roots, "node"))
+    scratch = Scratch(rows.sparkSession)
+    members = scratch.write(rows.where("key_value <> ''").select("row_id", "key_type", "key_value", label.alias("node")).distinct())
+    # the identifiers of a row hang on its least one, so n of them need n edges, and the rows themselves are no nodes
+    links = join_unique(members.select("row_id", "node"), members.groupBy("row_id").agg(F.min("node").alias("least")), "row_id")
+    roots = lookup_components(links, "node", "least")
+    nodes = scratch.write(members.select("node", "key_type", "key_value").distinct().join(roots, "node"))
     met = nodes.select("node", "root").join(hits.where("structure <> ''").select(label.alias("node"), "structure").distinct(), "node")
     structures = met.groupBy("root").agg(F.min("structure").alias("s"), F.max("structure").alias("other")).where("s = other").select("root", "s")
     least = [F.min(F.when(F.col("key_type") == t, number_first(F.col("key_value"))))["v"].alias(f"p{i}") for i, t in enumerate(preferred)]
